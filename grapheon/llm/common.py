@@ -46,14 +46,14 @@ def power_of_two(x: float, least: int, most: int) -> int:
     return n
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that no more than SLICE_BYTES of text (one row at least) are taken at a time."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that no more than `most` bytes of text (one row at least) are taken at a time."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         sizes = pc.binary_length(column).to_pylist()
         start, held = 0, 0
         for i, size in enumerate(sizes):
-            if i > start and (held + (size or 0) > SLICE_BYTES or i - start >= SLICE_ROWS):
+            if i > start and (held + (size or 0) > most or i - start >= SLICE_ROWS):
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += size or 0

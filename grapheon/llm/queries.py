@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grapheon.llm import ann, packing, secrets, topk, toxicity, urls
+from grapheon.llm import ann, jaccard, packing, pieces, quality, secrets, substrings, topk, toxicity, urls
 from grapheon.llm.common import table
 
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
@@ -39,6 +39,22 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", (remainder(F.col("doc_id")) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_toxic", "spans")
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"))
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), n=5, percent=80)
+
+
 def queries_of(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("vec_id") % 50 == 0)
 
@@ -64,6 +80,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_toxicity": op2_toxicity,
+    "op3_repeats": op3_repeats,
+    "op4_quality": op4_quality,
+    "op5_pieces": op5_pieces,
+    "op6_jaccard": op6_jaccard,
     "op7_topk": op7_topk,
     "op8_neighbours": op8_neighbours,
     "op9_urls": op9_urls,
