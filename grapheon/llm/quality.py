@@ -37,22 +37,22 @@ def votes(text: str) -> tuple[int, ...]:
     if not n:
         return (NONE,) * 7
     odd = len(text.encode("utf-8", "replace").translate(None, PLAIN)) / len(text)
-    upper = sum(map(str.isupper, words)) / n
-    distinct = len(set(words)) / min(n, 400)
+    shout = sum([w.isupper() and len(w) > 2 for w in words]) / n
+    pairs = sum([a == b for a, b in zip(words, words[1:], strict=False)]) / n
     mean = (len(text) - n) / n
     lines = text.split("\n")
     repeated = 1 - len(set(lines)) / len(lines)
     stops = (text.count(". ") + text.count(".\n") + text.endswith(".")) / n
-    capital = text[:1].isupper()
+    marked = sum([not w[-1].isalnum() and w[-1] not in ".,;:?!\"')" for w in words]) / n
     enough = n >= 20
     return (
-        BAD if odd > 0.08 else GOOD if odd < 0.03 else NONE,
-        BAD if upper > 0.4 else GOOD if upper < 0.1 else NONE,
-        (BAD if distinct < 0.15 else GOOD if distinct > 0.35 else NONE) if enough else NONE,
+        BAD if odd > 0.05 else GOOD if odd < 0.02 else NONE,
+        BAD if shout > 0.1 else GOOD if shout < 0.02 else NONE,
+        BAD if pairs > 0.12 else GOOD if pairs < 0.06 else NONE,
         BAD if mean < 2 or mean > 14 else GOOD if 3 < mean < 10 else NONE,
-        (BAD if repeated > 0.5 else GOOD if repeated < 0.2 else NONE) if len(lines) > 3 else NONE,
+        (BAD if repeated > 0.45 else GOOD if repeated < 0.35 else NONE) if len(lines) > 3 else NONE,
         (BAD if stops < 0.005 else GOOD if 0.02 < stops < 0.4 else NONE) if enough else NONE,
-        GOOD if capital and enough and stops > 0.01 else NONE,
+        BAD if marked > 0.1 else GOOD if marked < 0.02 else NONE,
     )
 
 
