@@ -39,7 +39,7 @@ NULL_ID = (1 << 63) - 1
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SETS = "doc_id long, n_shingles long, set_key binary"
 SMALL = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary())])
-BIG = pa.schema([*SMALL, ("set", pa.binary())])
+BIG = pa.schema([*SMALL, ("packed", pa.binary())])
 
 
 class Words(dict):
@@ -118,7 +118,7 @@ def _all_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sizes), pa.array(keys, pa.binary())], schema=SMALL)
 
 
-def _left_over(n: int, percent: int):
+def _left_over(percent: int):
     """Of a batch: the sets that the sample leaves, one of each class."""
 
     def finish(batch: int, home: tuple[bytes, ...], lengths: np.ndarray) -> pa.Table:
@@ -132,37 +132,37 @@ def _left_over(n: int, percent: int):
         for i in np.flatnonzero(stay):
             if keys[i] not in first or ids[i] < ids[first[keys[i]]]:
                 first[keys[i]] = int(i)
-        held, data, at, out = Words(), unsqueezed(home[2]), starts(texts), []
+        data, at, out = unsqueezed(home[2]), starts(texts), []
         for i in sorted(first.values()):
-            out.append((int(ids[i]), int(sizes[i]), keys[i], shingle_set(data[at[i] : at[i + 1]], held, n).tobytes()))
+            out.append((int(ids[i]), int(sizes[i]), keys[i], squeezed(data[at[i] : at[i + 1]])))  # a text takes less room than its set
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, BIG.types, strict=True)], schema=BIG)
 
     return finish
 
 
-def _second(bits: int, most: int = 1_000_000):
-    """Batches of class representatives; home: ids and sizes, sets."""
+def _second(n: int, bits: int, most: int = 1_000_000):
+    """Batches of class representatives; home: ids, and the texts, squeezed one by one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = batch_ids()
+        names, words = batch_ids(), Words()
         ids: list[int] = []
+        texts: list[bytes] = []
         sets: list[np.ndarray] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            h = np.concatenate(sets)
-            found, times = np.unique(h, return_counts=True)
-            meta = np.array([ids, [len(s) for s in sets]], "<i8").tobytes()
-            return batch_rows(next(names), (meta, h.tobytes(), b"", b""), found, times, bits)
+            found, times = np.unique(np.concatenate(sets), return_counts=True)
+            return batch_rows(next(names), (np.array(ids, "<i8").tobytes(), np.array([len(t) for t in texts], "<i8").tobytes(), b"".join(texts), b""), found, times, bits)
 
         for part in batches:
-            for i, s in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+            for i, t in zip(part.column(0).to_pylist(), part.column(1), strict=True):
                 ids.append(i)
-                sets.append(np.frombuffer(s.as_py(), np.uint64))
+                texts.append(t.as_py())
+                sets.append(shingle_set(unsqueezed(texts[-1]), words, n))
                 held += len(sets[-1])
                 if held >= most:
                     yield flush()
-                    ids, sets, held = [], [], 0
+                    ids, texts, sets, held = [], [], [], 0
         if ids:
             yield flush()
 
@@ -172,23 +172,21 @@ def _second(bits: int, most: int = 1_000_000):
 ORDERED = "doc_id long, n long, shared binary, prefix array<long>"
 
 
-def _ordered(percent: int):
+def _ordered(n_words: int, percent: int):
     """Sets that may have partners: shared n-grams, rare first, and those of the prefix."""
 
     def finish(batch: int, home: tuple[bytes, ...], lengths: np.ndarray) -> pa.Table:
-        ids, sizes = np.frombuffer(home[0], "<i8").reshape(2, -1)
-        h = np.frombuffer(home[1], np.uint64)
-        found = np.unique(h)
-        classes = lengths[np.searchsorted(found, h)]
-        at, out = starts(sizes), []
-        for i in range(len(ids)):
-            s, c = h[at[i] : at[i + 1]], classes[at[i] : at[i + 1]]
-            n = len(s)
+        ids, at, words = np.frombuffer(home[0], "<i8"), starts(np.frombuffer(home[1], "<i8")), Words()
+        sets = [shingle_set(unsqueezed(home[2][a:b]), words, n_words) for a, b in zip(at[:-1], at[1:], strict=True)]
+        h = np.concatenate(sets)
+        classes = lengths[np.searchsorted(np.unique(h), h)]
+        at, out = starts(np.array([len(s) for s in sets])), []
+        for i, s in enumerate(sets):
+            c, n = classes[at[i] : at[i + 1]], len(s)
             unique, prefix = int((c == 1).sum()), n - overlap_needed(n, percent) + 1
             if unique >= prefix:
                 continue
-            order = np.lexsort((s, c))[unique:]
-            shared = s[order]
+            shared = s[np.lexsort((s, c))[unique:]]
             out.append((int(ids[i]), n, shared.tobytes(), shared[: prefix - unique].view(np.int64).tolist()))
         types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, types, strict=True)], names=["doc_id", "n", "shared", "prefix"])
@@ -402,10 +400,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, block_sets:
     sets = sketch.filter("kind = 0").select("a", "b").mapInArrow(_all_sets, SETS)
     first = sets.groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("rep"))
 
-    left = with_counts(sketch, _left_over(n, percent), SETS + ", set binary")
-    reps = left.groupBy("set_key").agg(F.min(F.struct("doc_id", "set")).alias("x")).select("x.doc_id", "x.set")
-    second = cut(reps.mapInArrow(_second(bits), ROWS))
-    ordered = cut(with_counts(second, _ordered(percent), ORDERED))
+    left = with_counts(sketch, _left_over(percent), SETS + ", packed binary")
+    reps = left.groupBy("set_key").agg(F.min(F.struct("doc_id", "packed")).alias("x")).select("x.doc_id", "x.packed")
+    second = cut(reps.mapInArrow(_second(n, bits), ROWS))
+    ordered = cut(with_counts(second, _ordered(n, percent), ORDERED))
     root = components(links(ordered, percent, block_sets)).select(F.col("node").alias("rep"), "root")
 
     out = sets.join(first, ["set_key", "n_shingles"]).withColumn("rep", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id")))
