@@ -161,8 +161,8 @@ def repeats(texts: list[bytes], owner: np.ndarray, begin: np.ndarray, length: in
     """(context, first, end): byte ranges of contexts whose windows start earlier elsewhere. Contexts are distinct or of the same place."""
     sizes = np.array([len(t) for t in texts], np.int64)
     at = starts(sizes + 1)
-    s = np.ones(at[-1] + 1, np.int64)  # 1 parts contexts, 0 ends all
-    flat = np.frombuffer(b"\0".join(texts), np.uint8).astype(np.int64) + 2
+    s = np.ones(at[-1] + 1, np.uint8)  # 1 parts contexts, 0 ends all
+    flat = np.frombuffer(b"\0".join(texts), np.uint8) + np.uint8(2)  # UTF-8 has no bytes over 0xF4
     s[: len(flat)] = flat
     s[at[1:] - 1] = 1
     s[-1] = 0

@@ -26,7 +26,7 @@ def _induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, sizes: np.ndarray
     n = len(s)
     tails = np.cumsum(sizes)
     heads = tails - sizes
-    sa = np.empty(n, np.int64)
+    sa = np.empty(n, lms.dtype)
     symbols = np.flatnonzero(sizes)
     first = s[lms]
     order = np.argsort(first, kind="stable")
@@ -36,22 +36,24 @@ def _induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, sizes: np.ndarray
 
     def push(now: np.ndarray, want_small: bool, at: np.ndarray, step: int) -> None:
         j = now - 1
-        j = j[j >= 0]
-        j = j[small[j] == want_small]
+        if want_small:
+            j = j[small[j] & (j >= 0)]
+        else:
+            j = j[~(small[j] | (j < 0))]
         if not len(j):
             return
         c = s[j]
         by = np.argsort(c, kind="stable")
         j, c = j[by], c[by]
-        begin = np.flatnonzero(np.append(True, c[1:] != c[:-1]))
-        count = np.diff(np.append(begin, len(c)))
-        within = np.arange(len(c)) - np.repeat(begin, count)
+        count = np.bincount(c, minlength=len(sizes))
+        to = at - (np.cumsum(count) - count) if step > 0 else at - 1 + (np.cumsum(count) - count)
+        place = np.arange(len(c))
         if step > 0:
-            sa[at[c] + within] = j
-            at[c[begin]] += count
+            sa[to[c] + place] = j
+            at += count
         else:
-            sa[at[c] - 1 - within] = j
-            at[c[begin]] -= count
+            sa[to[c] - place] = j
+            at -= count
 
     for c in symbols:
         i = heads[c]
@@ -86,7 +88,7 @@ def _by_doubling(names: np.ndarray) -> np.ndarray:
         other = np.zeros(n, np.int64)
         other[: n - k] = rank[k:] if k < n else 0
         key = rank * (n + 1) + other
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # equal keys keep any order until they differ
         rise = np.append(True, key[order][1:] != key[order][:-1])
         if rise.all():
             return order
@@ -100,9 +102,9 @@ def suffix_array(s: np.ndarray, few: int = 512) -> np.ndarray:
     n = len(s)
     if n < 2:
         return np.zeros(n, np.int64)
-    s = s.astype(np.int64)
+    s = s.astype(np.min_scalar_type(int(s.max())))  # symbols of one or two bytes are sorted by counting
     small = _types(s)
-    lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    lms = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(np.int32 if n < 1 << 31 else np.int64)
     sizes = np.bincount(s)
     if not len(lms):
         return np.argsort(s, kind="stable") if n < 2 else _by_doubling(s)
@@ -139,32 +141,26 @@ def suffix_array(s: np.ndarray, few: int = 512) -> np.ndarray:
 def permuted_prefixes(s: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     """For each suffix, in the order of the text: symbols that it shares with the suffix before it in sa, `most` at most.
 
-    Eight symbols (under 65,536 each packs four) are compared at a time, only where all before agree.
+    Symbols take a byte. Eight are compared at a time, and only where all before agree.
     """
     n = len(s)
-    wide = np.concatenate([s.astype(np.uint64), np.zeros(8, np.uint64)])
-    word = np.zeros(n, np.uint64)
-    for k in range(4):
-        word = (word << np.uint64(16)) | wide[k : n + k]
-    out = np.zeros(n, np.int64)
+    ends = np.zeros(n + most + 16, np.uint8)  # past the end nothing agrees with a symbol but another end, and ends aren't aligned
+    ends[:n] = s
+    word = np.zeros(n + most + 8, np.uint64)
+    for k in range(8):
+        word |= ends[k : len(word) + k].astype(np.uint64) << np.uint64(8 * k)
+    out = np.zeros(n, np.int32)
     a, b = sa[1:], sa[:-1]
-    live = np.arange(len(a))
     at = 0
-    while len(live) and at < most:
-        x, y = a[live] + at, b[live] + at
-        inside = (x < n) & (y < n)
-        live, x, y = live[inside], x[inside], y[inside]
-        equal = word[x] == word[y]
-        part = live[~equal]
-        if len(part):
-            k = np.zeros(len(part), np.int64)
-            more = np.ones(len(part), bool)
-            for step in range(3):
-                p, q = np.minimum(a[part] + at + step, n - 1), np.minimum(b[part] + at + step, n - 1)
-                more &= (s[p] == s[q]) & (a[part] + at + step < n) & (b[part] + at + step < n)
-                k += more
-            out[a[part]] = at + k
-        live = live[equal]
-        at += 4
-        out[a[live]] = at
+    while len(a) and at < most:
+        differ = word[a + at] ^ word[b + at]
+        no = np.flatnonzero(differ)
+        if len(no):
+            low = differ[no]
+            low &= ~low + np.uint64(1)  # the lowest bit that differs
+            out[a[no]] = at + ((np.frexp(low.astype(np.float64))[1] - 1) >> 3)
+            yes = np.flatnonzero(differ == 0)
+            a, b = a[yes], b[yes]
+        at += 8
+    out[a] = most
     return np.minimum(out, most)
