@@ -241,7 +241,7 @@ def scored(texts: list[str | None], model: Model, cache: Emissions, spans: bool
     return score, found
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 1500, longest: int = 20_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, most: int = 1200, longest: int = 15_000) -> Model:
     """Train on labelled rows of docs. labels: doc_id, toxic; the caller leaves out held-out rows."""
     given = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = None
