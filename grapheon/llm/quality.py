@@ -153,7 +153,11 @@ def quality_scores(docs: DataFrame, most: int = 3000, longest: int = 20_000, thr
     rows = _columns(docs)
     counts = {r["code"]: r["count"] for r in rows.mapInArrow(_patterns, "code int").groupBy("code").count().collect()}
     post = label_model(counts)
-    chosen = rows.filter((F.length("text") > 0) & (F.length("text") <= longest)).orderBy(F.xxhash64("doc_id"), "doc_id", F.length("text")).limit(most)
+    # ids first, so that no more than `most` of them, and then no more than `most` texts, come to the driver
+    fits = (F.length("text") > 0) & (F.length("text") <= longest)
+    ids = rows.filter(fits & F.col("doc_id").isNotNull()).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()
+    keys = rows.sparkSession.createDataFrame([(r["doc_id"],) for r in ids], "doc_id long")
+    chosen = rows.filter(fits).join(F.broadcast(keys), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id")
     texts = [r["text"] for r in chosen.collect()]
     weights, bias = train(texts, np.array([post.get(pattern(t), 0.5) for t in texts]))
 
