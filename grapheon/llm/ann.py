@@ -143,7 +143,8 @@ def nearest(
     """query_id, rank, vec_id, score: the k nearest rows of df found for each row of queries."""
     rows, asked = finite_vectors(df), finite_vectors(queries).distinct()
     n = rows.count()
-    fitted = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").toPandas()["v"]
+    ids = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)  # ids first, then their vectors: both are bounded
+    fitted = rows.join(F.broadcast(ids), "vec_id").groupBy("vec_id").agg(F.min("v").alias("v")).orderBy("vec_id").toPandas()["v"]
     size = int(fitted.map(len).mode().iloc[0]) if len(fitted) else 0
     x = _unit(fitted[fitted.map(len) == size]) if size else np.ones((1, 1), np.float32)
     lists = 1 if n <= exact_rows else max(1, min(n // list_rows, most_centroids, len(x) // 4))
