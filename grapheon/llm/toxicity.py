@@ -33,6 +33,8 @@ from grapheon.llm.common import slices
 
 WORD = re.compile(r"[^\W_]+")
 BITS = 18
+#: Bytes of text that are scored together; their words' matrices take some 100 times as much.
+SLICE = 1_500_000
 SCORES_SCHEMA = "doc_id long, score double, n_toxic long, spans string"
 
 
@@ -241,7 +243,7 @@ def scored(texts: list[str | None], model: Model, cache: Emissions, spans: bool
     return score, found
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 1200, longest: int = 15_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, most: int = 800, longest: int = 10_000) -> Model:
     """Train on labelled rows of docs. labels: doc_id, toxic; the caller leaves out held-out rows."""
     given = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     chosen = None
@@ -262,7 +264,7 @@ def score_documents(docs: DataFrame, model: Model, spans: bool = True) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Emissions(model)
-        for part in slices(batches):
+        for part in slices(batches, most=SLICE):
             score, found = scored(part.column(1).to_pylist(), model, cache, spans)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(score), pa.array([n for n, _ in found], pa.int64()), pa.array([",".join(f"{a}:{b}" for a, b in w) for _, w in found], pa.string())],
@@ -278,7 +280,7 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Emissions(model)
-        for part in slices(batches):
+        for part in slices(batches, most=SLICE):
             score, _ = scored(part.column(part.schema.get_field_index("text")).to_pylist(), model, cache)
             yield part.filter(pa.array(score < threshold))
 
