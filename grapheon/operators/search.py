@@ -35,7 +35,7 @@ def bm25(docs: DataFrame, words: Sequence[str], k: int, key: str = "doc_id", tex
     """The k best documents for a few query words. The words' counts are taken in the scan; nothing else of the index is built."""
     words = sorted({w.lower() for w in words})
     terms = F.filter(F.split(F.lower(text), r"[^a-z0-9]+"), lambda t: t != "")
-    counts = docs.select(key, F.size(terms).alias("length"), *(F.size(F.filter(terms, lambda t, w=w: t == w)).alias(f"tf{i}") for i, w in enumerate(words)))
+    counts = docs.select(key, F.size(terms).alias("length"), *((F.size(terms) - F.size(F.array_remove(terms, w))).alias(f"tf{i}") for i, w in enumerate(words)))
     stats = counts.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), *(F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(words))))
     joined = counts.crossJoin(F.broadcast(stats))  # one row of statistics
     score = F.lit(0.0)
