@@ -184,7 +184,7 @@ def element_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH e AS (SELECT 'n' || n_nationkey AS key, r_name AS module, r_name || '::' || n_name AS qualified, n_name AS s1 FROM nation JOIN region ON r_regionkey = n_regionkey
  UNION ALL SELECT 'c' || c_custkey, r_name, r_name || '::' || n_name || '::' || c_mktsegment, c_mktsegment FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey),
- s AS (SELECT key, module, qualified, 1 AS d, s1 AS suffix FROM e UNION ALL SELECT key, module, qualified, 2, array_to_string(list_slice(string_split(qualified, '::'), greatest(len(string_split(qualified, '::')) - 1, 1), NULL), '_') FROM e
+ s AS (SELECT key, module, qualified, 1 AS d, s1 AS suffix FROM e UNION ALL SELECT key, module, qualified, 2, array_to_string(list_slice(string_split(qualified, '::'), greatest(len(string_split(qualified, '::')) - 1, 1), len(string_split(qualified, '::'))), '_') FROM e
   UNION ALL SELECT key, module, qualified, 3, replace(qualified, '::', '_') FROM e),
  u AS (SELECT *, COUNT(*) OVER (PARTITION BY module, d, suffix) AS n FROM s), b AS (SELECT key, arg_min(suffix, d) AS lone FROM u WHERE n = 1 GROUP BY key),
  r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY module, qualified ORDER BY key) AS k FROM e)
