@@ -17,6 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grapheon.llm.common import lean_group
+
 #: kind 0: what a batch keeps for itself (a, b, c, d); kind 1: its fingerprints in one bucket (a: uint32, b: uint16 counts)
 ROWS = "kind int, batch long, bucket int, a binary, b binary, c binary, d binary"
 _NAMES = ["kind", "batch", "bucket", "a", "b", "c", "d"]
@@ -73,7 +75,7 @@ def _count(group: pa.Table) -> pa.Table:
 
 def counted(rows: DataFrame) -> DataFrame:
     """Rows of kind 2: for each bucket row of each batch the bit lengths of the counts (a)."""
-    return rows.filter("kind = 1").groupBy("bucket").applyInArrow(_count, ROWS)
+    return rows.filter("kind = 1").groupBy("bucket").applyInArrow(lean_group(_count), ROWS)
 
 
 def with_counts(rows: DataFrame, finish, schema: str) -> DataFrame:
@@ -95,7 +97,7 @@ def homes(rows: DataFrame) -> DataFrame:
 def by_batch(home: DataFrame, more: DataFrame, run, schema: str) -> DataFrame:
     """Cogroup on the batch. The home side's exchange is the same wherever it is used in a plan, so Spark makes it once."""
     more = more.select(*(F.col(c).alias(c) for c in more.columns))  # columns of their own, not those of home
-    return home.groupBy("batch").cogroup(more.groupBy("batch")).applyInArrow(run, schema)
+    return home.groupBy("batch").cogroup(more.groupBy("batch")).applyInArrow(lean_group(run), schema)
 
 
 def squeezed(data: bytes) -> bytes:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from grapheon.llm.common import cut, power_of_two, size_hint, slices
+from grapheon.llm.common import cut, lean, lean_group, power_of_two, size_hint, slices
 from grapheon.llm.components import components
 from grapheon.llm.fingerprints import ROWS, batch_ids, batch_rows, mix, squeezed, starts, unsqueezed, with_counts
 
@@ -365,7 +365,7 @@ def links(ordered: DataFrame, percent: int, block_sets: int = 1024, pivots: int
 
     pack = F.when(F.col("sets") <= block_sets, F.pmod(F.xxhash64("block"), F.lit(1024)))
     small = member.filter(F.col("sets") <= block_sets).withColumn("pack", pack).select("pack", "block", "doc_id", "n", "shared")
-    found = small.groupBy("pack").applyInPandas(_join_blocks(percent), "a long, b long")
+    found = small.groupBy("pack").applyInPandas(lean_group(_join_blocks(percent)), "a long, b long")
 
     large = member.filter(F.col("sets") > block_sets).withColumn("chunks", F.ceil(F.col("sets") / (block_sets // 2)).cast("long"))
     if large.isEmpty():
@@ -375,7 +375,7 @@ def links(ordered: DataFrame, percent: int, block_sets: int = 1024, pivots: int
     hubs = hubs.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     columns = ["block", "chunk", "doc_id", "n", "shared"]
     met = large.select(columns).unionByName(hubs.select(columns)).dropDuplicates(["block", "chunk", "doc_id"])
-    first = cut(met.groupBy("block", "chunk").applyInPandas(_join_blocks(percent), "a long, b long"))
+    first = cut(met.groupBy("block", "chunk").applyInPandas(lean_group(_join_blocks(percent)), "a long, b long"))
 
     known = components(first)
     large = large.join(known.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
@@ -388,7 +388,7 @@ def links(ordered: DataFrame, percent: int, block_sets: int = 1024, pivots: int
     asked = rest.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).select("block", "part", "chunk", "doc_id", "n", "shared", "root")
     others = large.join(rest_sized, "block").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     others = others.select(*(F.col(c).alias(c) for c in ("block", "part", "chunk", "doc_id", "n", "shared", "root")))  # columns of their own, not those of asked
-    late = asked.groupBy("block", "part", "chunk").cogroup(others.groupBy("block", "part", "chunk")).applyInPandas(_join_rest(percent), "a long, b long")
+    late = asked.groupBy("block", "part", "chunk").cogroup(others.groupBy("block", "part", "chunk")).applyInPandas(lean_group(_join_rest(percent)), "a long, b long")
     return found.unionByName(first).unionByName(late)
 
 
@@ -396,13 +396,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, block_sets:
     """doc_id, n_shingles, component_id of each row of docs: components of links with 100 * overlap >= percent * union."""
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     bits = power_of_two(size_hint(rows) / (256 << 10), 16, 1 << 20).bit_length() - 1
-    sketch = cut(rows.mapInArrow(_sketch(n, bits), ROWS))
-    sets = sketch.filter("kind = 0").select("a", "b").mapInArrow(_all_sets, SETS)
+    sketch = cut(rows.mapInArrow(lean(_sketch(n, bits)), ROWS))
+    sets = sketch.filter("kind = 0").select("a", "b").mapInArrow(lean(_all_sets), SETS)
     first = sets.groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("rep"))
 
     left = with_counts(sketch, _left_over(percent), SETS + ", packed binary")
     reps = left.groupBy("set_key").agg(F.min(F.struct("doc_id", "packed")).alias("x")).select("x.doc_id", "x.packed")
-    second = cut(reps.mapInArrow(_second(n, bits), ROWS))
+    second = cut(reps.mapInArrow(lean(_second(n, bits)), ROWS))
     ordered = cut(with_counts(second, _ordered(n, percent), ORDERED))
     root = components(links(ordered, percent, block_sets)).select(F.col("node").alias("rep"), "root")
 

@@ -23,7 +23,7 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from grapheon.llm.common import slices
+from grapheon.llm.common import lean, slices
 
 #: Kinds in the order in which equal starts are listed.
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
@@ -137,7 +137,7 @@ def secret_spans(docs: DataFrame, allow: Sequence[str] = ()) -> DataFrame:
             types = [pa.int64()] * 5 + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=["doc_id", "n_assign", "n_access", "n_hex", "n_entropy", "base_sha256", "spans"])
 
-    return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, SPANS_SCHEMA)
+    return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(lean(run), SPANS_SCHEMA)
 
 
 def redacted(text: str, allow: Sequence[re.Pattern] = ALLOW, mask: str = "[SECRET]") -> str:
@@ -163,4 +163,4 @@ def redact_secrets(docs: DataFrame, allow: Sequence[str] = (), mask: str = "[SEC
             texts = [t if t is None else redacted(t, patterns, mask) for t in part.column(at).to_pylist()]
             yield part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

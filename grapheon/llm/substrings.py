@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grapheon.llm.common import cut, power_of_two, size_hint, slices
+from grapheon.llm.common import cut, lean, lean_group, power_of_two, size_hint, slices
 from grapheon.llm.fingerprints import ROWS, batch_ids, batch_rows, by_batch, homes, mix, squeezed, starts, unsqueezed, with_counts
 from grapheon.llm.suffixes import permuted_prefixes, suffix_array
 
@@ -294,9 +294,9 @@ def _run(docs: DataFrame, length: int, finish, schema, carried: bool = False) ->
     bits = power_of_two(size_hint(docs.select(columns)) / (1 << 20), 16, 1 << 20).bit_length() - 1
     if carried:
         columns.append(F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns) if c != "text")).alias("row"))
-    sketch = cut(docs.select(columns).mapInArrow(_sketch(length, bits), ROWS))
+    sketch = cut(docs.select(columns).mapInArrow(lean(_sketch(length, bits)), ROWS))
     contexts = with_counts(sketch, _contexts(length, bits), ROWS)
-    ranges = contexts.groupBy("bucket").applyInArrow(_judge(length), ROWS)
+    ranges = contexts.groupBy("bucket").applyInArrow(lean_group(_judge(length)), ROWS)
     return by_batch(homes(sketch), ranges, finish, schema)
 
 

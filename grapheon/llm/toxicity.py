@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grapheon.llm.common import slices
+from grapheon.llm.common import lean, slices
 
 WORD = re.compile(r"[^\W_]+")
 BITS = 18
@@ -271,7 +271,7 @@ def score_documents(docs: DataFrame, model: Model, spans: bool = True) -> DataFr
                 names=["doc_id", "score", "n_toxic", "spans"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCORES_SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run), SCORES_SCHEMA)
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
@@ -284,4 +284,4 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFra
             score, _ = scored(part.column(part.schema.get_field_index("text")).to_pylist(), model, cache)
             yield part.filter(pa.array(score < threshold))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
