@@ -65,11 +65,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
             yield batch.slice(start)
 
 
+#: What an operator keeps in a worker over its own tasks: its name, and a function that drops it.
+KEPT: dict[str, Callable[[], object]] = {}
 _given_back = 0.0
 
 
-def give_back(every: float = 0.0) -> None:
-    """Return the worker's free memory to the system, if that was last done `every` seconds ago at least.
+def give_back(every: float = 0.0, owner: str | None = None) -> None:
+    """Drop what operators other than `owner` keep in the worker, and return the worker's free memory to the system, if that was last done `every` seconds ago at least.
 
     Python workers outlive their tasks, and would hold what the largest of them took.
     """
@@ -77,6 +79,9 @@ def give_back(every: float = 0.0) -> None:
     if time.monotonic() - _given_back < every:
         return
     _given_back = time.monotonic()
+    for name, drop in KEPT.items():
+        if name != owner:
+            drop()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:
@@ -85,14 +90,14 @@ def give_back(every: float = 0.0) -> None:
         pass
 
 
-def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+def lean(run: Callable[[Iterator], Iterator], owner: str | None = None) -> Callable[[Iterator], Iterator]:
     """A function for mapInArrow that gives its memory back before it starts and when it ends."""
 
     @functools.wraps(run)
     def wrapped(batches: Iterator) -> Iterator:
-        give_back()
+        give_back(owner=owner)
         yield from run(batches)
-        give_back()
+        give_back(owner=owner)
 
     return wrapped
 
