@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grapheon.functions import scalar
+from grapheon.notation import model as notation
 from grapheon.operators import mutate, names, rollup, search, traverse
 from grapheon.plans.graph import COMPOSITION, Graph, table_graph
 from grapheon.streaming.transitions import transitions
@@ -317,3 +318,38 @@ def first_of_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders")
     best = o.groupBy("o_custkey").agg(F.min(F.struct((-F.col("o_totalprice")).alias("v"), "o_orderkey")).alias("x"))
     return best.select(F.col("o_custkey").alias("src"), F.col("x.o_orderkey").alias("dst"), (-F.col("x.v")).alias("value"))
+
+
+def _nation_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model file for each region, written from the tables: a definition, a part of it for each nation with its key as a quantity, and a dependency on the region's first nation."""
+    n, r = _read(spark, sf_dir, "nation"), _read(spark, sf_dir, "region")
+    key = F.col("n_nationkey").cast("string")
+    part = F.concat(F.lit("  part n"), key, F.lit(" : Nation { attribute code = "), key, F.lit(" [kg]; doc /* "), "n_name", F.lit(" */ }\n"))
+    body = n.groupBy("n_regionkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n_nationkey", part.alias("t")))), lambda x: x["t"]), "").alias("body"), F.min("n_nationkey").alias("least"))
+    text = F.concat(F.lit("package '"), "r_name", F.lit("' {\n  abstract part def Nation;\n"), "body", F.lit("  dependency D to n"), F.col("least").cast("string"), F.lit(";\n  part def D :> Nation;\n}\n"))
+    return body.join(r, body["n_regionkey"] == r["r_regionkey"]).select(F.concat(F.lit("m"), F.col("r_regionkey").cast("string"), F.lit("/model.sysml")).alias("path"), text.alias("text"))
+
+
+@query("""WITH n AS (SELECT 'm' || r_regionkey AS module, r_name, n_nationkey AS k, n_name FROM nation JOIN region ON n_regionkey = r_regionkey), m AS (SELECT DISTINCT module, r_name FROM n)
+ SELECT module, r_name AS qualified, 'package' AS kind, false AS is_definition, CAST(NULL AS DOUBLE) AS num, CAST(NULL AS VARCHAR) AS unit, CAST(NULL AS VARCHAR) AS doc FROM m
+ UNION ALL SELECT module, r_name || '::Nation', 'part', true, NULL, NULL, NULL FROM m UNION ALL SELECT module, r_name || '::D', 'part', true, NULL, NULL, NULL FROM m
+ UNION ALL SELECT module, r_name || '::dependency@' || (3 + COUNT(*)), 'dependency', false, NULL, NULL, NULL FROM n GROUP BY module, r_name
+ UNION ALL SELECT module, r_name || '::n' || k, 'part', false, NULL, NULL, n_name FROM n
+ UNION ALL SELECT module, r_name || '::n' || k || '::code', 'attribute', false, k, 'kg', NULL FROM n""", False)
+def notation_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = notation.elements(notation.declarations(_nation_sources(spark, sf_dir)))
+    return found.select("module", "qualified", "kind", "is_definition", "value.num", "value.unit", "doc")
+
+
+@query("""WITH n AS (SELECT 'm' || r_regionkey AS module, 'm' || r_regionkey || '::' || r_name AS top, n_nationkey AS k FROM nation JOIN region ON n_regionkey = r_regionkey), m AS (SELECT module, top, MIN(k) AS k, COUNT(*) AS c FROM n GROUP BY ALL)
+ SELECT top AS src, 'owns' AS label, top || '::n' || k AS dst FROM n UNION ALL SELECT top || '::n' || k, 'owns', top || '::n' || k || '::code' FROM n UNION ALL SELECT top || '::n' || k, 'typedBy', top || '::Nation' FROM n
+ UNION ALL SELECT top, 'owns', top || '::Nation' FROM m UNION ALL SELECT top, 'owns', top || '::D' FROM m UNION ALL SELECT top, 'owns', top || '::dependency@' || (3 + c) FROM m
+ UNION ALL SELECT top || '::D', 'specializes', top || '::Nation' FROM m UNION ALL SELECT top || '::D', 'dependsOn', top || '::n' || k FROM m""", False)
+def notation_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notation.edges(notation.relations(notation.declarations(_nation_sources(spark, sf_dir)))).select("src", "label", "dst")
+
+
+@query("SELECT 'm' || n_regionkey || '::' || r_name || '::n' || n_nationkey AS owner, CAST(n_nationkey AS DOUBLE) AS num, 'kg' AS unit FROM nation JOIN region ON n_regionkey = r_regionkey", False)
+def notation_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = notation.attributes(notation.elements(notation.declarations(_nation_sources(spark, sf_dir))))
+    return found.select("owner", F.col("attributes")["code"]["num"].alias("num"), F.col("attributes")["code"]["unit"].alias("unit"))
