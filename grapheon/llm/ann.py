@@ -4,11 +4,15 @@ Fit: spherical k-means with a size penalty on a bounded sample (`sample` rows, t
 their id) gives centroids; the driver holds at most `sample` vectors and `most_centroids` centroids. A neighbour
 graph over the centroids is searched best-first, from fixed entries, for rows and queries alike, in
 batches. Every row is indexed: in its nearest list, and, if it lies near a boundary, in up to `copies` lists
-whose distance is at most (1 + `closure`) times the nearest one. A query reads the lists within
-`ratio` times the distance of its nearest centroid, `probes` of them at most.
+whose distance is at most (1 + `closure`) times the nearest one. A query first reads the lists within
+`ratio` times the distance of its nearest centroid, `probes` of them at most. Then it reads on: every row has one home
+list, and a list that is still unread is left out only if the angle to its centroid, less the largest angle of a row at
+home there, is more than the angle of the k-th row found. So no nearer row is lost, however many lists there are. Where
+vectors are spread evenly the bound rules out little, and nearly all home lists are read.
 
 Lists longer than `chunk` rows are split into chunks by a hash of the id, each chunk a group of its own, and
-a query reads all chunks of a list, so no list is cut off. Rows with equal vectors are kept once with the k + 1 smallest ids,
+a query reads all chunks of a list, so no list is cut off. When it reads on, home lists are grouped to blocks of about
+`block_rows` rows (a longer list is dealt over several), so a query goes once to each block it needs. Rows with equal vectors are kept once with the k + 1 smallest ids,
 for no more of them can be among a query's k nearest.
 
 Scores are the cosines of the original vectors in double precision. Nulls and odd values: vectors that are null, empty, zero,
@@ -27,6 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from grapheon.llm.common import cut
 from grapheon.llm.topk import ranked
 
 FOUND_SCHEMA = "query_id long, vec_id long, score double"
@@ -110,6 +115,83 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a @ b.T) / (np.sqrt((a * a).sum(axis=1))[:, None] * np.sqrt((b * b).sum(axis=1))[None, :])
 
 
+def _angles(column: pd.Series, c: np.ndarray) -> np.ndarray:
+    """Angles of all vectors with all rows of c, which are of length 1, in double precision."""
+    x = np.stack(column.to_numpy()).astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return np.arccos(np.clip((x / np.linalg.norm(x, axis=1, keepdims=True)) @ c.T, -1, 1))
+
+
+def _extents(c: np.ndarray):
+    """Batches of (v, ids, lists) to the count of each home list and its largest angle."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for a in range(0, len(pdf), 1024):
+                part = pdf.iloc[a : a + 1024]
+                home = part["lists"].map(lambda x: x[0]).to_numpy()
+                angle = _angles(part["v"], c)[np.arange(len(part)), home]
+                yield pd.DataFrame({"list": home, "angle": angle}).groupby("list", as_index=False).agg(n=("angle", "size"), angle=("angle", "max"))
+
+    return run
+
+
+def _blocks(size: np.ndarray, block_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first block of each list and the number of its blocks; short lists share one."""
+    first, parts = np.zeros(len(size), np.int64), np.ones(len(size), np.int64)
+    block = held = 0
+    for at, rows in enumerate(size.tolist()):
+        if held and held + rows > block_rows:
+            block, held = block + 1, 0
+        first[at], parts[at] = block, max(1, -(-rows // block_rows))
+        held += rows
+        if parts[at] > 1:
+            block, held = block + int(parts[at]), 0
+    return first, parts
+
+
+def _unread(c: np.ndarray, size: np.ndarray, extent: np.ndarray, first: np.ndarray, parts: np.ndarray):
+    """Batches of (vec_id, v, lists, least) to a row for each block with home lists that aren't among `lists` and may hold a score of `least` or more."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for a in range(0, len(pdf), 1024):
+                part = pdf.iloc[a : a + 1024]
+                least = part["least"].to_numpy(np.float64)
+                bound = np.where(np.isnan(least), np.inf, np.arccos(np.clip(least, -1, 1)))
+                need = (_angles(part["v"], c) - extent <= bound[:, None] + 1e-6) & (size > 0)
+                out: list[tuple] = []
+                for row, x in zip(part.itertuples(index=False), need, strict=True):
+                    x[row.lists] = False
+                    lists = np.flatnonzero(x)
+                    for b in np.unique(first[lists]).tolist():
+                        held = lists[first[lists] == b]
+                        out.extend((row.vec_id, row.v, row.least, b + p, held.tolist()) for p in range(int(parts[held].max())))
+                yield pd.DataFrame(out, columns=["vec_id", "v", "least", "block", "lists"])
+
+    return run
+
+
+def _best(a: pd.DataFrame, b: pd.DataFrame, k: int, found: tuple[list, list, list]) -> None:
+    """Adds the k best rows of a for each row of b."""
+    data, ids = np.stack(a["v"].to_numpy()), a["ids"].to_list()
+    for at in range(0, len(b), 256):
+        part = b.iloc[at : at + 256]
+        cos = cosines(np.stack(part["v"].to_numpy()), data)
+        some = min(k + 1, cos.shape[1])
+        bound = -np.partition(-cos, some - 1, axis=1)[:, some - 1]
+        bound = np.maximum(bound, part["least"].fillna(-2.0).to_numpy() - 1e-9)
+        for q, c, least in zip(part["vec_id"].to_list(), cos, bound, strict=True):
+            best = sorted((-float(c[h]), int(i)) for h in np.flatnonzero(c >= least) for i in ids[h] if i != q)[:k]
+            found[0].extend([q] * len(best))
+            found[1].extend(i for _, i in best)
+            found[2].extend(-s for s, _ in best)
+
+
+def _frame(found: tuple[list, list, list]) -> pd.DataFrame:
+    return pd.DataFrame({"query_id": found[0], "vec_id": found[1], "score": found[2]}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+
+
 def _assign(graph: CentroidGraph, size: int, most: int, ratio: float, beam: int):
     """Batches of (…, v) to the same rows with `lists`: centroids within `ratio` of the nearest distance."""
 
@@ -139,8 +221,9 @@ def nearest(
     ratio: float = 1.6,
     chunk: int = 1024,
     exact_rows: int = 1024,
+    block_rows: int = 8192,
 ) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest rows of df found for each row of queries."""
+    """query_id, rank, vec_id, score: the k nearest rows of df for each row of queries."""
     rows, asked = finite_vectors(df), finite_vectors(queries).distinct()
     n = rows.count()
     ids = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample)  # ids first, then their vectors: both are bounded
@@ -153,29 +236,49 @@ def nearest(
     first = Window.partitionBy("v").orderBy("vec_id")
     kept = rows.distinct().withColumn("r", F.row_number().over(first)).filter(F.col("r") <= k + 1)
     kept = kept.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    posted = kept.mapInPandas(_assign(graph, size, copies, 1 + closure, 16), "v array<double>, ids array<long>, lists array<long>")
-    probed = asked.mapInPandas(_assign(graph, size, probes, ratio, probes), "vec_id long, v array<double>, lists array<long>")
+    posted = cut(kept.mapInPandas(_assign(graph, size, copies, 1 + closure, 16), "v array<double>, ids array<long>, lists array<long>"))
+    probed = cut(asked.mapInPandas(_assign(graph, size, probes, ratio, probes), "vec_id long, v array<double>, lists array<long>"))
     chunks = max(1, -(-n * copies // (lists * chunk)))  # a list of average length is one chunk; a longer one is spread evenly over all of its chunks
     spread = max(chunks, -(-n // (64 * chunk)), 4) if n > exact_rows else 1
     left = posted.select("v", "ids", F.explode("lists").alias("list"), F.pmod(F.xxhash64("ids"), F.lit(spread)).alias("chunk"))
     right = probed.select("vec_id", "v", F.explode("lists").alias("list")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))).withColumn("chunk", F.col("chunk").cast("long"))
 
     def search(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-        data, ids = np.stack(a["v"].to_numpy()), a["ids"].to_list()
         found: tuple[list, list, list] = ([], [], [])
-        for at in range(0, len(b), 256):
-            part = b.iloc[at : at + 256]
-            cos = cosines(np.stack(part["v"].to_numpy()), data)
-            some = min(k + 1, cos.shape[1])
-            bound = -np.partition(-cos, some - 1, axis=1)[:, some - 1]
-            for q, c, least in zip(part["vec_id"].to_list(), cos, bound, strict=True):
-                best = sorted((-float(c[h]), int(i)) for h in np.flatnonzero(c >= least) for i in ids[h] if i != q)[:k]
-                found[0].extend([q] * len(best))
-                found[1].extend(i for _, i in best)
-                found[2].extend(-s for s, _ in best)
-        return pd.DataFrame({"query_id": found[0], "vec_id": found[1], "score": found[2]}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    found = left.groupBy("list", "chunk").cogroup(right.groupBy("list", "chunk")).applyInPandas(search, FOUND_SCHEMA)
+        if len(a) and len(b):
+            _best(a, b.assign(least=np.nan), k, found)
+        return _frame(found)
+
+    near = left.groupBy("list", "chunk").cogroup(right.groupBy("list", "chunk")).applyInPandas(search, FOUND_SCHEMA)
+    near = cut(ranked(near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), k))
+    if lists == 1:
+        return near
+
+    c = graph.c.astype(np.float64)
+    c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-12)
+    held, extent = np.zeros(lists, np.int64), np.zeros(lists)
+    home = posted.mapInPandas(_extents(c), "list long, n long, angle double").groupBy("list").agg(F.sum("n").alias("n"), F.max("angle").alias("angle")).toPandas()  # a row a centroid
+    held[home["list"]], extent[home["list"]] = home["n"], home["angle"]
+    first_block, parts = _blocks(held, block_rows)
+    places = df.sparkSession.createDataFrame([(i, int(b), int(p)) for i, (b, p) in enumerate(zip(first_block, parts, strict=True))], "list long, first long, parts long")
+    least = near.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
+    wanted = probed.join(least, "vec_id", "left").select("vec_id", "v", "lists", "least")
+    wanted = wanted.mapInPandas(_unread(c, held, extent, first_block, parts), "vec_id long, v array<double>, least double, block long, lists array<long>")
+    at_home = posted.select("v", "ids", F.col("lists")[0].alias("list")).join(F.broadcast(places), "list")
+    at_home = at_home.select("v", "ids", "list", (F.col("first") + F.pmod(F.xxhash64("ids"), F.col("parts"))).alias("block"))
+
+    def search_on(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        found: tuple[list, list, list] = ([], [], [])
+        if len(a) and len(b):
+            asking: dict[int, list[int]] = {}
+            for at, some in enumerate(b["lists"]):
+                for i in some:
+                    asking.setdefault(int(i), []).append(at)
+            for i, some in a.groupby("list"):
+                if i in asking:
+                    _best(some, b.iloc[asking[i]], k, found)
+        return _frame(found)
+
+    far = at_home.groupBy("block").cogroup(wanted.groupBy("block")).applyInPandas(search_on, FOUND_SCHEMA)
+    found = near.select("query_id", "vec_id", "score").unionByName(far)
     return ranked(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), k)

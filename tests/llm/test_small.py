@@ -83,6 +83,19 @@ def test_top_k_and_neighbours_match_brute_force(spark):
     assert topk.top_k(df.limit(0), asked.limit(0)).count() == 0 and ann.nearest(df.limit(0), asked.limit(0)).count() == 0
 
 
+def test_neighbours_are_exact_where_lists_far_outnumber_probes(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 16)).astype(np.float32)
+    x[1000:] = x[1000:] / 50 + np.eye(16)[np.arange(500) % 8]  # some in clusters, one of many near copies
+    x[1400:] = x[0] + x[1400:] / 1000
+    df = vectors(spark, [(i, [float(v) for v in x[i]], 0) for i in range(1500)])
+    got = {(r.query_id, r.rank): r.score for r in ann.nearest(df, df.filter("vec_id % 25 = 0"), list_rows=20, probes=3, exact_rows=100, block_rows=60).collect()}
+    u = x / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    for i in range(0, 1500, 25):
+        best = sorted((float(s) for j, s in enumerate(u @ u[i]) if j != i), reverse=True)[:5]
+        assert np.allclose([got[i, r + 1] for r in range(5)], best, atol=1e-9)
+
+
 def test_urls(spark):
     given = [(1, "http://A.com/x"), (2, "https://www.example.com/en/1?q"), (3, "http://example.com/en/2#t"), (4, "http://x.net/es/"), (5, None), (6, "no scheme"), (7, "http://net?x"), (8, "http://o.org/es/9/")]
     df = spark.createDataFrame([(i, u, "h") for i, u in given], "page_id long, url string, host string")
