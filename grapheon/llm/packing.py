@@ -4,7 +4,7 @@ Each document becomes the ids of its text followed by one end id. Documents long
 sequence are cut into pieces of full length; only the last may be shorter. Full pieces are
 sequences of their own. The rest are dealt to shards by a hash of the document, so a shard
 holds a bounded share of pieces however large one source is, and each shard is packed on
-its own: best-fit decreasing, then a local search over the underfull bins.
+its own: best-fit decreasing, then a local search over all underfull bins, which are indexed by what they can take.
 
 A move takes a piece from one bin to a fuller one, a one-for-one swap exchanges two pieces, a
 two-for-one swap two pieces for one; each is made only if the sum of squared fills grows, so
@@ -20,10 +20,12 @@ from __future__ import annotations
 
 import bisect
 import gc
+import heapq
 import os
 import re
 import zlib
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -166,80 +168,116 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], lengths: list[int], capacity: int, steps: int = 20_000) -> list[list[int]]:
+class Takers:
+    """Underfull bins by what they can take: for each length that a bin could give back (nothing, a piece, or two), the bins' rooms in order.
+
+    A bin of room r that gives back s takes a piece of length x in s + 1 .. s + r, and is fuller afterwards.
+    """
+
+    def __init__(self, capacity: int):
+        self.by_back: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # (room, bin), sorted
+        self.most = np.full(capacity + 1, -1, np.int64)  # the largest room of each
+        self.held: dict[int, tuple[int, list[int]]] = {}
+
+    def put(self, b: int, room: int, sizes: list[int]) -> None:
+        one = np.unique(np.array(sizes, np.int64))
+        counts = Counter(sizes)
+        first, second = np.triu_indices(len(one), 1)
+        two = np.concatenate([one[first] + one[second], [2 * x for x, n in counts.items() if n > 1]]).astype(np.int64)
+        backs = np.unique(np.concatenate([[0], one, two[two < len(self.most)]])).astype(np.int64).tolist()
+        self.held[b] = (room, backs)
+        for s in backs:
+            bisect.insort(self.by_back[s], (room, b))
+            self.most[s] = self.by_back[s][-1][0]
+
+    def drop(self, b: int) -> None:
+        room, backs = self.held.pop(b)
+        for s in backs:
+            rooms = self.by_back[s]
+            rooms.pop(bisect.bisect_left(rooms, (room, b)))
+            self.most[s] = rooms[-1][0] if rooms else -1
+
+    def find(self, x: int, giver: int, room: int) -> tuple[int, int] | None:
+        """The fullest bin that takes a piece of length x, no emptier than the giver (which has so much room), and the least length that it gives back."""
+        best = None
+        for s in np.flatnonzero(self.most[:x] >= np.arange(x, 0, -1)).tolist():
+            rooms = self.by_back[s]
+            at = bisect.bisect_left(rooms, (x - s, -1))
+            if rooms[at][1] == giver:
+                at += 1
+            if at < len(rooms) and rooms[at][0] <= room and (best is None or rooms[at][0] < best[0]):
+                best = (*rooms[at], s)
+        return best and best[1:]
+
+
+def _of_sum(held: list[int], lengths: list[int], s: int) -> list[int]:
+    """At most two of the pieces, of total length s."""
+    if not s:
+        return []
+    by_length = {lengths[j]: j for j in held}
+    if s in by_length:
+        return [by_length[s]]
+    return next([j, by_length[s - lengths[j]]] for j in held if by_length.get(s - lengths[j], j) != j)
+
+
+def improve(bins: list[list[int]], lengths: list[int], capacity: int) -> list[list[int]]:
     """Swaps and moves between underfull bins while the sum of squared fills grows.
 
     The emptiest bin gives: its pieces are moved to, or swapped against shorter pieces (one or
-    two) of, fuller bins. Each step raises the squared fill, so the search ends; `steps` bounds it besides.
+    two) of, fuller bins. Each step raises the squared fill, so the search ends.
     """
     bins = [list(b) for b in bins if b]
     fill = [sum(lengths[i] for i in b) for b in bins]
     least = -(-sum(fill) // capacity)
-    alive = {k for k in range(len(bins)) if fill[k] < capacity}
     count = len(bins)
-    stuck: set[int] = set()
-    while count > least and steps > 0:
-        giving = [k for k in alive if k not in stuck]
-        if not giving:
-            break
-        g = min(giving, key=lambda k: (fill[k], k))
-        others = sorted((k for k in alive if k != g and fill[k] >= fill[g]), key=lambda k: (-fill[k], k))
-        done = False
-        for i in sorted(bins[g], key=lambda i: -lengths[i]):
-            for t in others:
-                room = capacity - fill[t]
-                gain = None
-                if lengths[i] <= room:
-                    gain = ([i], [])
-                else:
-                    spare = lengths[i] - room  # what has to come back, at least
-                    back = [j for j in bins[t] if spare <= lengths[j] < lengths[i]]
-                    if back:
-                        gain = ([i], [min(back, key=lambda j: (lengths[j], j))])
-                    else:
-                        small = sorted((j for j in bins[t] if lengths[j] < lengths[i]), key=lambda j: (lengths[j], j))
-                        lo, hi, best = 0, len(small) - 1, None
-                        while lo < hi:
-                            both = lengths[small[lo]] + lengths[small[hi]]
-                            if both >= spare:
-                                if both < lengths[i] and (best is None or both < best[0]):
-                                    best = (both, small[lo], small[hi])
-                                hi -= 1
-                            else:
-                                lo += 1
-                        if best:
-                            gain = ([i], [best[1], best[2]])
-                if gain:
-                    out, back = gain
-                    bins[g] = [j for j in bins[g] if j not in out] + back
-                    bins[t] = [j for j in bins[t] if j not in back] + out
-                    moved = sum(lengths[j] for j in out) - sum(lengths[j] for j in back)
-                    fill[g] -= moved
-                    fill[t] += moved
-                    stuck.clear()
-                    if fill[t] == capacity:
-                        alive.discard(t)
-                    if not bins[g]:
-                        alive.discard(g)
-                        count -= 1
-                    done = True
-                    break
-            if done:
+    if count <= least:
+        return bins
+    takers = Takers(capacity)
+    for k in range(len(bins)):
+        if fill[k] < capacity:
+            takers.put(k, capacity - fill[k], [lengths[i] for i in bins[k]])
+    giving = [(fill[k], k) for k in takers.held]  # a heap; entries of bins whose fill has changed are stale
+    heapq.heapify(giving)
+    stuck: dict[int, set[int]] = {}  # bins that can't give now, with their pieces' lengths
+    while count > least and giving:
+        at, g = heapq.heappop(giving)
+        if g not in takers.held or fill[g] != at or g in stuck:
+            continue
+        sizes = {lengths[i]: i for i in bins[g]}
+        for x in sorted(sizes, reverse=True):
+            if found := takers.find(x, g, capacity - at):
                 break
-        steps -= 1
-        if not done:
-            stuck.add(g)
+        else:
+            stuck[g] = set(sizes)
+            continue
+        t, s = found
+        i, back = sizes[x], _of_sum(bins[t], lengths, s)
+        bins[g] = [j for j in bins[g] if j != i] + back
+        bins[t] = [j for j in bins[t] if j not in back] + [i]
+        fill[g] -= x - s
+        fill[t] += x - s
+        count -= not bins[g]
+        taken: set[int] = set()
+        for k in (g, t):
+            takers.drop(k)
+            stuck.pop(k, None)
+            if bins[k] and fill[k] < capacity:
+                room = capacity - fill[k]
+                takers.put(k, room, [lengths[j] for j in bins[k]])
+                heapq.heappush(giving, (fill[k], k))
+                for y in takers.held[k][1]:
+                    taken.update(range(y + 1, y + room + 1))
+        for k in [k for k, has in stuck.items() if not has.isdisjoint(taken)]:  # only what has changed can take a piece that nothing took before
+            del stuck[k]
+            heapq.heappush(giving, (fill[k], k))
     return [b for b in bins if b]
 
 
 def pack_lengths(lengths: list[int], capacity: int) -> list[list[int]]:
-    """Bins of indices into lengths: best-fit decreasing, then the local search over the emptiest bins.
-
-    The search looks at the 64 emptiest bins; best-fit decreasing leaves all others full or nearly so.
-    """
+    """Bins of indices into lengths: best-fit decreasing, then the local search over all underfull bins."""
     bins = best_fit(lengths, capacity)
     bins.sort(key=lambda b: -sum(lengths[i] for i in b))
-    return bins[:-64] + improve(bins[-64:], lengths, capacity)
+    return improve(bins, lengths, capacity)
 
 
 def _shards(capacity: int, digits: int):

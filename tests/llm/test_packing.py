@@ -60,3 +60,18 @@ def test_swap_finds_what_best_fit_misses():
     lengths = [6, 5, 5, 4, 4, 3, 3]  # best fit decreasing: 6+4, 5+5, 4+3+3
     assert len(packing.pack_lengths(lengths, 10)) == 3
     assert len(packing.improve([[0], [1, 3], [2, 4], [5, 6]], lengths, 10)) == 3
+
+
+def test_search_ends_only_when_no_underfull_bin_can_give():
+    rng = random.Random(8)
+    for least, most, n in ((350, 1100, 800), (300, 700, 700), (20, 900, 300)):
+        lengths = [rng.randint(least, most) for _ in range(n)]
+        bins = packing.pack_lengths(lengths, 2048)
+        assert sorted(i for b in bins for i in b) == list(range(n)) and all(sum(lengths[i] for i in b) <= 2048 for b in bins)
+        if len(bins) == -(-sum(lengths) // 2048):
+            continue
+        held = sorted(([lengths[i] for i in b] for b in bins), key=sum)
+        held = [(sum(b), set(b), {0, *b, *(x + y for i, x in enumerate(b) for y in b[:i])}) for b in held if sum(b) < 2048]
+        for g, (fill, sizes, _) in enumerate(held):
+            for room, backs in ((2048 - f, backs) for k, (f, _, backs) in enumerate(held) if k != g and f >= fill):
+                assert not any(s < x <= s + room for x in sizes for s in backs)
