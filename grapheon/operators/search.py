@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from grapheon.plans.lineage import cut
+
 K1, B, RRF = 1.2, 0.75, 60
 
 
@@ -74,22 +76,23 @@ def reciprocal_once(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.max("score").alias("score"))
 
 
-def greedy(pairs: DataFrame, per_src: int = 3, per_dst: int = 2, group: str | None = None) -> DataFrame:
-    """Pairs taken best first while neither end is full; by nature sequential, so one group is one task: give a group column (a pair of modules) to bound it."""
-    data = pairs.withColumn("_g", F.col(group) if group else F.lit(0))
-    names = pairs.columns
-
-    def take(pdf: pd.DataFrame) -> pd.DataFrame:
-        used: dict = {}
-        keep = []
-        for i, r in pdf.sort_values(["score", "src", "dst"], ascending=[False, True, True]).iterrows():
-            s, d = ("s", r["src"]), ("d", r["dst"])
-            if used.get(s, 0) < per_src and used.get(d, 0) < per_dst:
-                used[s], used[d] = used.get(s, 0) + 1, used.get(d, 0) + 1
-                keep.append(i)
-        return pdf.loc[keep, names]
+def greedy(pairs: DataFrame, per_src: int = 3, per_dst: int = 2) -> DataFrame:
+    """Pairs taken best first while neither end is full; ties go to the smaller src, then dst.
 
-    return data.groupBy("_g").applyInPandas(take, pairs.schema)
+    In rounds, with the same result as one pass over all pairs: a pair that is among the best of its src and of its dst, as many as each has room for, can't
+    be crowded out, so all such pairs are taken at once; then pairs with a full end go. The best pair of all is always one, so the rounds end. A checkpoint ends each.
+    """
+    best = [F.desc("score"), "src", "dst"]
+    left = cut(pairs.withColumn("_s", F.lit(per_src)).withColumn("_d", F.lit(per_dst)))
+    taken = left.select(*pairs.columns).limit(0)
+    while not left.isEmpty():
+        src, dst = Window.partitionBy("src"), Window.partitionBy("dst")
+        take = (F.row_number().over(src.orderBy(*best)) <= F.col("_s")) & (F.row_number().over(dst.orderBy(*best)) <= F.col("_d"))
+        marked = left.withColumn("_take", take.cast("int"))
+        marked = cut(marked.withColumn("_s", F.col("_s") - F.sum("_take").over(src)).withColumn("_d", F.col("_d") - F.sum("_take").over(dst)))
+        taken = taken.unionByName(marked.filter("_take = 1").select(*pairs.columns))
+        left = marked.filter("_take = 0 and _s > 0 and _d > 0").drop("_take")
+    return taken
 
 
 def clusters(nodes: DataFrame, edges: DataFrame, rounds: int = 10) -> DataFrame:

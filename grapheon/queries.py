@@ -292,8 +292,7 @@ def analogy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def analogy_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy, so without SQL; tested against a plain loop."""
     rows = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("key"), (F.col("vec_id") % 2).alias("model"), F.col("label").alias("role"), "embedding")
-    pairs = search.analogies(rows, 0.55, 5).withColumn("part", F.col("src") % 64)
-    return search.greedy(pairs, group="part").select("src", "dst", F.round("score", 6).alias("score"))
+    return search.greedy(search.analogies(rows, 0.55)).select("src", "dst", F.round("score", 6).alias("score"))
 
 
 @query("WITH x AS (SELECT c_nationkey AS node, c_mktsegment AS value FROM customer) SELECT node, string_agg(DISTINCT value, ',' ORDER BY value) AS files FROM x GROUP BY node", False)
