@@ -13,10 +13,10 @@ def exact_sum(c: Column | str) -> Column:
     return F.coalesce(F.sum(F.col(c).cast(MONEY) if isinstance(c, str) else c.cast(MONEY)), F.lit(0).cast(MONEY)).cast("double")
 
 
-def by_unit(reached: DataFrame, elements: DataFrame) -> DataFrame:
-    """unit, total, n: numeric attributes of the reached nodes; units are never mixed. reached: node."""
+def by_unit(reached: DataFrame, elements: DataFrame, *by: str) -> DataFrame:
+    """unit, total, n: numeric attributes of the reached nodes; units are never mixed. reached: node, and the columns `by`, which totals are kept apart by."""
     numeric = elements.filter("num is not null").select(F.col("key").alias("node"), "unit", "num")
-    return reached.join(numeric, "node").groupBy("unit").agg(exact_sum("num").alias("total"), F.count(F.lit(1)).alias("n"))
+    return reached.join(numeric, "node").groupBy(*by, "unit").agg(exact_sum("num").alias("total"), F.count(F.lit(1)).alias("n"))
 
 
 def with_parts(reached: DataFrame, elements: DataFrame) -> DataFrame:

@@ -117,6 +117,37 @@ def unsatisfied(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.uncovered(g.elements.filter("kind = 'requirement'"), g.edges.filter("src = 'supplier/1'")).select("key", "name")
 
 
+@query("WITH RECURSIVE {graph}, walk AS (SELECT key AS root, key AS node FROM elements WHERE key LIKE 'region/%' UNION SELECT w.root, e.dst FROM walk w JOIN edges e ON e.src = w.node AND e.label IN ('owns', 'typedBy'))"
+       " SELECT root, unit, " + TOTAL.format(c="num") + " AS total, COUNT(*) AS n FROM walk JOIN elements ON key = node WHERE num IS NOT NULL GROUP BY root, unit")
+def composition_rollup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by unit of everything below each region."""
+    g = _graph(spark, sf_dir)
+    return rollup.by_unit(traverse.walk(_roots(g), g.labelled(*COMPOSITION)), g.elements, "root")
+
+
+@query("WITH RECURSIVE {graph}, up AS (SELECT key AS root, key AS node, 0 AS depth FROM elements WHERE key LIKE 'order/%' UNION SELECT root, e.src, depth + 1 FROM up JOIN edges e ON e.dst = node AND e.label = 'owns') SELECT root, node, depth FROM up WHERE depth > 0")
+def walk_inbound_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = _graph(spark, sf_dir)
+    return traverse.walk(_roots(g, "order/"), g.labelled("owns"), least=1, direction="in")
+
+
+@query("WITH {graph} SELECT DISTINCT src AS root, dst AS node FROM (SELECT src, dst FROM edges WHERE label = 'owns' UNION ALL SELECT dst, src FROM edges WHERE label = 'owns') WHERE src LIKE 'nation/%'")
+def neighbours_any_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = _graph(spark, sf_dir)
+    return traverse.hop(_roots(g, "nation/"), g.labelled("owns"), "root", "any").select("root", F.col("dst").alias("node")).distinct()
+
+
+@query("WITH {graph}, r AS (SELECT key FROM elements WHERE kind = 'requirement'), c AS (SELECT src, COUNT(DISTINCT dst) AS n FROM edges JOIN r ON dst = key WHERE label = 'satisfies' GROUP BY src)"
+       " SELECT e.key AS supplier, (SELECT COUNT(*) FROM r) - COALESCE(c.n, 0) AS n FROM elements e LEFT JOIN c ON c.src = e.key WHERE e.key LIKE 'supplier/%'")
+def unsatisfied_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many requirements each supplier doesn't satisfy: all less the satisfied ones, for the pairs would be too many."""
+    g = _graph(spark, sf_dir)
+    required = g.elements.filter("kind = 'requirement'").select(F.col("key").alias("dst"))
+    satisfied = g.labelled("satisfies").join(required, "dst").groupBy(F.col("src").alias("root")).agg(F.count_distinct("dst").alias("satisfied"))
+    every = F.broadcast(required.agg(F.count(F.lit(1)).alias("all")))  # one row
+    return _roots(g, "supplier/").join(satisfied, "root", "left").crossJoin(every).select(F.col("root").alias("supplier"), (F.col("all") - F.coalesce("satisfied", F.lit(0))).alias("n"))
+
+
 @query("WITH {graph} SELECT kind, SUM(CASE WHEN owner IS NULL THEN 1 ELSE 0 END) AS roots, SUM(CASE WHEN owner IS NOT NULL THEN 1 ELSE 0 END) AS owned FROM elements GROUP BY kind")
 def kind_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _graph(spark, sf_dir)
