@@ -11,8 +11,11 @@ rows are scored exactly.
 Rows with equal integer vectors are kept once with the k + 1 smallest ids, for no more of them can be among
 the k best of any query. Every query meets every block of rows; the k best of each block are merged.
 
-Nulls and odd values: vectors that are null, empty, hold null or non-finite components, or a component that leaves 31 bits
-after scaling take no part, nor do rows with a null id. Only vectors of the query's length are its candidates.
+Sums that could leave 62 bits are taken with unbounded integers instead of int64, in an index of their own that keeps the upper 32 bits of the attributes;
+everything else is the same. A score that doesn't fit a long shows as the largest or smallest long; rows are ranked by the exact one, which `exact_score` spells out.
+
+Nulls and odd values: vectors that are null, empty, or hold null or non-finite components take no part, nor do rows with a null id.
+Only vectors of the query's length are its candidates.
 Rows with the query's id are not its candidates; repeated rows (same id and vector) count once. Ties go to
 the smaller id. An empty table gives an empty result. Other columns are ignored.
 """
@@ -24,17 +27,20 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TOP_SCHEMA = "query_id long, vec_id long, score long"
+TOP_SCHEMA = "query_id long, vec_id long, score long, beyond string"
+LEAST, MOST = -(1 << 63), (1 << 63) - 1
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 class BitSliced:
-    """Index of one block: rows is an int64 matrix."""
+    """Index of one block: rows is a matrix of int64 or, where sums could leave it, of Python integers."""
 
     def __init__(self, rows: np.ndarray, drop: int = 1):
-        self.rows, self.drop = rows, drop
         self.n, self.d = rows.shape
         self.least = rows.min(axis=0)
+        if rows.dtype == object:
+            drop = max(drop, int((rows - self.least).max()).bit_length() - 32)
+        self.rows, self.drop = rows, drop
         shifted = (rows - self.least) >> drop
         self.bits = max(1, int(shifted.max()).bit_length())
         self.words = -(-self.n // 64)
@@ -53,7 +59,7 @@ class BitSliced:
         flip = np.where(weights < 0, FULL, np.uint64(0))
         total: list[np.ndarray] = []
         for j in range(int(size.max()).bit_length()):
-            on = np.where((size >> j) & 1, FULL, np.uint64(0))
+            on = np.where(((size >> j) & 1).astype(bool), FULL, np.uint64(0))
             part: list[np.ndarray] = []
             for a in np.flatnonzero(on.any(axis=0)):
                 mask, turn = on[:, a, None], flip[:, a, None]
@@ -70,7 +76,7 @@ class BitSliced:
         out = []
         for i in range(len(weights)):
             own = [s[i] for s in sums]
-            bound = _kth(own, self.live, k, self.n) - int(slack[i])
+            bound = int(_kth(own, self.live, k, self.n)) - int(slack[i])
             held = np.flatnonzero(np.unpackbits(_at_least(own, bound, self.live).view(np.uint8), bitorder="little")[: self.n])
             out.append((held, self.rows[held] @ weights[i]))
         return out
@@ -132,15 +138,31 @@ def _at_least(slices: list[np.ndarray], bound: int, live: np.ndarray) -> np.ndar
 
 
 def whole_vectors(df: DataFrame, scale: int) -> DataFrame:
-    """vec_id and the scaled integer vector of the rows that take part."""
+    """vec_id and the vector, with components rounded down to multiples of 1 / scale, of the rows that take part. scale: a power of two, so that these are exact.
+
+    From 2 ** 52 / scale on all doubles are such multiples.
+    """
+    if scale < 1 or scale & (scale - 1):
+        raise ValueError("scale isn't a power of two")
     x = F.col("x")
-    ok = F.col("vec_id").isNotNull() & (F.size("x") > 0) & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < (1 << 31) / scale))
+    ok = F.col("vec_id").isNotNull() & (F.size("x") > 0) & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x")).filter(ok)
-    return rows.select("vec_id", F.transform(x, lambda v: F.floor(v * scale).cast("long")).alias("v"))
+    return rows.select("vec_id", F.transform(x, lambda v: F.when(F.abs(v) < float((1 << 52) // scale), F.floor(v * scale) / F.lit(float(scale))).otherwise(v)).alias("v"))
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(np.int64)
+def _matrices(column: pd.Series, scale: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(places, integer rows) of vectors: those of up to 24 bits, whose products int64 can sum, and the others."""
+    x = np.stack(column.to_numpy()).astype(np.float64)
+    small = np.abs(x).max(axis=1) < (1 << 24) / scale
+    out = []
+    if small.any():
+        out.append((np.flatnonzero(small), (x[small] * scale).astype(np.int64)))
+    if not small.all():
+        whole = [[int(v) * scale if abs(v) >= 1 << 52 else int(v * scale) for v in row] for row in x[~small].tolist()]
+        rows = np.empty((len(whole), x.shape[1]), object)
+        rows[:] = whole
+        out.append((np.flatnonzero(~small), rows))
+    return out
 
 
 def top_k(df: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, block_rows: int = 8192, block_queries: int = 2048, drop: int = 1) -> DataFrame:
@@ -158,27 +180,40 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256, block
     right = asked.select("vec_id", "v", F.pmod(F.xxhash64("vec_id"), F.lit(nb)).cast("int").alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nr - 1).cast("long"))).alias("block"))
 
     def search(key, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        found: tuple[list, list, list] = ([], [], [])
+        found: tuple[list, list, list, list] = ([], [], [], [])
         lengths_a, lengths_b = a["v"].map(len), b["v"].map(len)
         for size in sorted(set(lengths_b)):
             some, few = a[lengths_a == size], b[lengths_b == size]
             if some.empty:
                 continue
-            index, ids = BitSliced(_matrix(some["v"]), drop), some["ids"].to_list()
-            weights, own = _matrix(few["v"]), few["vec_id"].to_list()
-            for at in range(0, len(own), 64):
-                for q, (held, scores) in zip(own[at : at + 64], index.top(weights[at : at + 64], k + 1), strict=True):
-                    best = sorted((-int(s), int(i)) for h, s in zip(held, scores, strict=True) for i in ids[h] if i != q)[:k]
-                    found[0].extend([q] * len(best))
-                    found[1].extend(i for _, i in best)
-                    found[2].extend(-s for s, _ in best)
-        return pd.DataFrame({"query_id": found[0], "vec_id": found[1], "score": found[2]}, dtype="int64")
+            ids, own = some["ids"].to_list(), few["vec_id"].to_list()
+            best: dict[int, list[tuple[int, int]]] = {i: [] for i in range(len(own))}
+            for places, rows in _matrices(some["v"], scale):
+                indexes: dict[bool, BitSliced] = {}
+                for asking, weights in _matrices(few["v"], scale):
+                    wide = rows.dtype == object or weights.dtype == object or size >= 1 << 14  # int64 holds sums of fewer than 2 ** 14 products of 48 bits
+                    if wide not in indexes:
+                        indexes[wide] = BitSliced(rows.astype(object) if wide else rows, drop)
+                    given = weights.astype(object) if wide else weights
+                    for at in range(0, len(asking), 64):
+                        for q, (held, scores) in zip(asking[at : at + 64].tolist(), indexes[wide].top(given[at : at + 64], k + 1), strict=True):
+                            best[q].extend((-int(s), int(i)) for h, s in zip(held, scores, strict=True) for i in ids[places[h]] if i != own[q])
+            for q, rows in best.items():
+                for s, i in sorted(rows)[:k]:
+                    found[0].append(own[q])
+                    found[1].append(i)
+                    found[2].append(min(max(-s, LEAST), MOST))
+                    found[3].append(None if LEAST <= -s <= MOST else str(-s))
+        return pd.DataFrame({"query_id": found[0], "vec_id": found[1], "score": found[2]}, dtype="int64").assign(beyond=pd.Series(found[3], dtype=object))
 
     best = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(search, TOP_SCHEMA)
-    return ranked(best, k)
+    rest = F.length("beyond")
+    order = [F.desc("score"), F.when(F.col("score") > 0, rest).otherwise(-rest).desc_nulls_last(), F.when(F.col("score") > 0, F.col("beyond")).desc_nulls_last(), F.col("beyond").asc_nulls_first()]
+    return ranked(best, k, order).withColumn("exact_score", F.coalesce("beyond", F.col("score").cast("string"))).drop("beyond")
 
 
-def ranked(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    rank = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return rank.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+def ranked(found: DataFrame, k: int, order: list | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score (and what else there is) of the k first rows of each query; ties go to the smaller vec_id."""
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(*(order or [F.desc("score")]), "vec_id"))
+    rest = [c for c in found.columns if c not in ("query_id", "vec_id", "score")]
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", *rest)
