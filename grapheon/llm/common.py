@@ -21,16 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: the session's spark.checkpoint.dir. Where that is unset, as in local tests, a temporary one; a cluster has no such folder, so there it is an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir names no shared folder")
+    return tempfile.mkdtemp(prefix="checkpoint")
 
-    The folder is the session's spark.checkpoint.dir. Only where that is unset, as in
-    local tests, a temporary folder is set.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

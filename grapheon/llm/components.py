@@ -20,14 +20,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return new.filter("u <> v").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, most: int = 64) -> DataFrame:
     """node, root: the least node that each node with an edge reaches. edges: a, b (long); loops and repeats do no harm.
 
     Each round halves the depth of what is left at least, and edges never become more than nodes and edges at first.
-    A round ends with a checkpoint, so its plan stays short and a lost executor costs one round.
+    A round ends with a checkpoint, so its plan stays short and a lost executor costs one round. Rounds are logarithmic in the longest path;
+    if `most` aren't enough, that is an error, not a result.
     """
     now = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    for _ in range(64):
+    for _ in range(most):
         now = cut(_star(_star(now, True), False))
         # a forest of stars: no root has a parent, and each node has one
         parents = now.groupBy("u").agg(F.count("*").alias("n"))
@@ -35,5 +36,7 @@ def components(edges: DataFrame) -> DataFrame:
         open_ = parents.filter("n > 1").select("u").unionByName(parents.join(roots, parents["u"] == roots["v"], "left_semi").select("u"))
         if open_.isEmpty():
             break
+    else:
+        raise RuntimeError(f"components haven't settled after {most} rounds")
     roots = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("root"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
