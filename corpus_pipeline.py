@@ -7,13 +7,13 @@ columns of documents; n_chars follows the text. The last gives the packed pieces
 from __future__ import annotations
 
 import posixpath
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grapheon.llm import jaccard, packing, secrets, substrings, toxicity
+from grapheon.llm.common import shared_folder
 from grapheon.llm.queries import tokenizer_path, toxicity_model
 
 
@@ -59,12 +59,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents. Each result is written below the session's shared folder and read again."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline")
-    base = posixpath.join(shared, f"pipeline-{uuid.uuid4().hex}")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages over documents. Each result is written below the session's shared folder and read again; a stage's input goes once its output is written, so only the last one's stays."""
+    base = posixpath.join(shared_folder(spark), f"pipeline-{uuid.uuid4().hex}")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         out = posixpath.join(base, name)
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(out)
         docs = spark.read.parquet(out)
+        if before:
+            _remove(spark, before)
+        before = out
     return docs
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ours with the file system that holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
