@@ -9,7 +9,7 @@ its own: best-fit decreasing, then a local search over all underfull bins, which
 A move takes a piece from one bin to a fuller one, a one-for-one swap exchanges two pieces, a
 two-for-one swap two pieces for one; each is made only if the sum of squared fills grows, so
 nearly empty bins run empty and full ones fill up. The search stops once no bin can be
-saved (the number of bins is the lower bound ceil(total / capacity)) or no step improves.
+saved (the number of bins is the lower bound ceil(total / capacity)) or no step improves; nothing else bounds it.
 
 Nulls: a null text is an empty text, so it is one piece that holds the end id; a null doc_id
 counts as one more id. Rows that repeat a doc_id are documents of their own and each is packed.
@@ -19,8 +19,8 @@ An empty table gives an empty result. Columns other than doc_id and text are ign
 from __future__ import annotations
 
 import bisect
-import gc
 import heapq
+import json
 import os
 import re
 import zlib
@@ -31,51 +31,44 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grapheon.llm.common import KEPT, lean, lean_group, power_of_two, size_hint, slices
+from grapheon.llm.common import KEPT, cut, lean, lean_group, slices
 
-#: White space as the tokenizer sees it: str.split() would also split at U+001C to U+001F.
+#: White space as the tokenizer sees it. Arrow's own split also cuts at U+001C to U+001F.
 SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 PIECES_SCHEMA = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
 
 
-#: Texts outside of this are split by white space alone. Up to U+024F there are no combining marks, so such a text is in normal form C, and letters are lowered one by one.
-STRANGE = re.compile("[\x1c-\x1f\u0250-\U0010ffff]|<\\|")
-#: The tokenizer's own split of lower-case text, a fixed value, for texts up to U+024F.
-SPLIT = re.compile("'(?:s|t|re|ve|m|ll|d)|[^\\W\\d_²³¹¼½¾]+|[\\d²³¹¼½¾]|(?:[^\\w\\s]|_)+")
-
-
-class Kept(dict):
-    """What was seen lately, in two generations: a full one replaces the older, and what is still in use moves on."""
-
-    def __init__(self, keep: int):
-        super().__init__()
-        self.keep, self.old = keep, {}
-
-    def missing(self, wanted: set[str]) -> list[str]:
-        """Those of `wanted` that neither generation has."""
-        rest, old = [], self.old
-        for w in wanted.difference(self):
-            x = old.get(w)
-            if x is None:
-                rest.append(w)
-            else:
-                self[w] = x
-        return rest
-
-    def turn(self) -> None:
-        if len(self) > self.keep:
-            self.old = {k: v for k, v in self.items() if len(k) <= 64}
-            self.clear()
+#: Words with one of these are encoded whole. Up to U+024F there are no combining marks, so other words are in normal form C, and their letters are lowered one by one (but U+0130 becomes two).
+STRANGE = r"[\x1c-\x1f\x{0130}\x{0250}-\x{10ffff}]|<\|"
+#: A tokenizer's own split of lower-case text, a fixed value, for texts up to U+024F, and line breaks; and the end of a piece that ends a part.
+SPLIT = re.compile("'(?:s|t|re|ve|m|ll|d)|[^\\W\\d_²³¹¼½¾]+|[\\d²³¹¼½¾]|(?:[^\\w\\s]|_)+|\n")
+LAST = "</w>"
+#: What a tokenizer file must say for words to be encoded apart and split as above (fixed values); texts of any other are encoded whole.
+BY_WORDS = {
+    "truncation": None,
+    "padding": None,
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 
 
 class Ids:
-    """The ids of a text as little-endian bytes.
+    """The ids of texts as little-endian bytes.
 
-    The tokenizer drops white space, never joins across it, and encodes each part of its own split on its own, so the ids of a text are
-    those of its words, and theirs those of their parts. Words and parts are kept; what a slice of texts holds for the first time is encoded in one call.
+    A tokenizer of the form BY_WORDS drops white space, never joins across it, and encodes each part of its own split on its own, so the ids of a text are
+    those of its words, and theirs those of their parts. Arrow splits a slice of texts, finds its distinct words, and looks them up among those kept (the
+    ones seen last, `keep` of them); the distinct parts of the others are encoded, many to a call, and cut apart where a part's last id says so. Arrow then puts all
+    together. Texts for any other tokenizer are encoded whole.
     """
 
     def __init__(self, path: str, keep: int = 400_000):
@@ -83,33 +76,89 @@ class Ids:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            said = json.load(f)
+        added = all("<|" in t["content"] and not SPACE.search(t["content"]) and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) for t in said["added_tokens"])
+        self.by_words = added and all(said.get(k) == v for k, v in BY_WORDS.items()) and said["model"].get("end_of_word_suffix") == LAST
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self.words, self.parts = Kept(keep), Kept(keep)
+        self.keep = keep
+        self.known, self.known_ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        vocabulary = self.tokenizer.get_vocab() if self.by_words else {}
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids that end a part
+        self.last[[i for x, i in vocabulary.items() if x.endswith(LAST)]] = True
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """Without passes of the cycle collector, which would look through all that is kept; nothing here makes cycles."""
-        was = gc.isenabled()
-        gc.disable()
-        try:
-            return self._ids(texts)
-        finally:
-            if was:
-                gc.enable()
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        strange = [bool(STRANGE.search(t)) for t in texts]
-        split = [[w for w in SPACE.split(t) if w] if odd else t.lower().split() for t, odd in zip(texts, strange, strict=True)]
-        words, parts = self.words, self.parts
-        new = words.missing(set().union(*split))
-        # a word of another text may be as strange; whether it is depends on the word alone
-        pieces = [[w] if STRANGE.search(w) or w != w.lower() else SPLIT.findall(w) for w in new]
-        fresh = parts.missing(set().union(*pieces))
-        parts.update(zip(fresh, (array("I", e.ids).tobytes() for e in self.encode(fresh, add_special_tokens=False)), strict=True))
-        words.update(zip(new, [parts[p[0]] if len(p) == 1 else b"".join([parts[x] for x in p]) for p in pieces], strict=True))
-        out = [b"".join([words[w] for w in ws]) for ws in split]
-        words.turn()
-        parts.turn()
-        return out
+        data, at = self.joined(pa.array(texts, pa.string()))
+        return [bytes(data[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def joined(self, texts: pa.Array) -> tuple[memoryview, list[int]]:
+        """The ids of all texts, end to end, and where each one's begin, and the end. A null text has none."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        ids, ends = self._by_words(texts) if self.by_words else (self._each(texts.to_pylist()), np.arange(len(texts) + 1))
+        return memoryview(ids.buffers()[2] or b""), _offsets(ids)[ends].tolist()
+
+    def _each(self, texts: list[str]) -> pa.Array:
+        return pa.array([array("I", e.ids).tobytes() for e in self.encode(texts, add_special_tokens=False)], pa.large_binary())
+
+    def _by_words(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Ids of words, and the first word of each text, and the end."""
+        chars = texts.buffers()[2]
+        if chars is not None and (np.frombuffer(chars, np.uint8) - np.uint8(0x1C) < 4).any():
+            split = pa.array([SPACE.split(t) for t in texts.to_pylist()], pa.list_(pa.large_string()))
+        else:
+            split = pc.utf8_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary
+        at = pc.index_in(distinct, value_set=self.known)
+        missing = at.is_null()
+        places = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(missing.to_numpy(zero_copy_only=False))
+        places[new] = len(self.known) + np.arange(len(new))
+        ids = pa.concat_arrays([self.known_ids, self._words(distinct.filter(missing))]).take(pa.array(places))
+        if len(new):
+            rest = np.ones(len(self.known), bool)
+            rest[at.drop_null().to_numpy()] = False
+            rest = pa.array(rest)
+            short = pc.less_equal(pc.binary_length(distinct), 64)
+            self.known = pa.concat_arrays([distinct.filter(short), self.known.filter(rest)])[: self.keep]
+            self.known_ids = pa.concat_arrays([ids.filter(short), self.known_ids.filter(rest)])[: self.keep]
+        return ids.take(coded.indices), split.offsets.to_numpy() - split.offsets[0].as_py()
+
+    def _words(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words."""
+        odd = pc.match_substring_regex(words, STRANGE)
+        plain = words.filter(pc.invert(odd)).to_pylist()
+        out = self._plain(plain) if plain else pa.array([], pa.large_binary())
+        if len(plain) == len(words):
+            return out
+        apart = self._each(words.filter(odd).to_pylist())
+        odd = odd.to_numpy(zero_copy_only=False)
+        return pa.concat_arrays([out, apart]).take(pa.array(np.where(odd, len(plain) + np.cumsum(odd) - 1, np.cumsum(~odd) - 1)))
+
+    def _plain(self, words: list[str]) -> pa.Array:
+        coded = pa.array(SPLIT.findall("\n".join(words).lower())).cast(pa.large_string()).dictionary_encode()  # a line break after each word
+        parts = coded.dictionary.to_pylist()
+        here = [x for x in parts if x != "\n"]
+        found = self.encode([" ".join(here[i : i + 512]) for i in range(0, len(here), 512)], add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in found]) if found else np.zeros(0, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(here):
+            raise ValueError("the tokenizer splits a part")
+        sizes = np.zeros(len(parts), np.int64)
+        sizes[[x != "\n" for x in parts]] = 4 * np.diff(ends, prepend=0)
+        each = _binary(np.concatenate([[0], np.cumsum(sizes)]), ids.tobytes()).take(coded.indices)
+        breaks = np.flatnonzero(pc.equal(coded, "\n").to_numpy(zero_copy_only=False))
+        offsets = _offsets(each)
+        return _binary(np.concatenate([offsets[:1], offsets[breaks], offsets[-1:]]), each.buffers()[2])
+
+
+def _offsets(a: pa.Array) -> np.ndarray:
+    """Where the values of a large binary array begin in its buffer, and the end."""
+    return np.frombuffer(a.buffers()[1], np.int64)[a.offset : a.offset + len(a) + 1] if len(a) else np.zeros(1, np.int64)
+
+
+def _binary(offsets: np.ndarray, data: bytes | pa.Buffer | None) -> pa.Array:
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int64)), data if isinstance(data, pa.Buffer) else pa.py_buffer(data or b"")])
 
 
 @lru_cache(1)
@@ -127,17 +176,27 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = ids_of(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
-        for part in slices(batches):
-            rows: list[list] = [[], [], [], [], [], []]
-            encoded = ids([t or "" for t in part.column(2).to_pylist()])
-            for doc_id, row, data in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), encoded, strict=True):
-                data += end
-                for k, at in enumerate(range(0, len(data), 4 * capacity)):
-                    held = data[at : at + 4 * capacity]
-                    for column, x in zip(rows, (doc_id, row, k, at // 4, len(held) // 4, zlib.crc32(held)), strict=True):
-                        column.append(x)
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, types, strict=True)], names=["doc_id", "row", "piece", "start", "length", "ids_crc32"])
+        full = 4 * capacity
+        for part in slices(batches, most=16_000_000):
+            which, piece, start, length, crc = [], [], [], [], []
+            data, at = ids.joined(part.column(2))
+            for doc, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
+                k = 0
+                while b - a >= full:
+                    which.append(doc)
+                    piece.append(k)
+                    start.append(k * capacity)
+                    length.append(capacity)
+                    crc.append(zlib.crc32(data[a : a + full]))
+                    a, k = a + full, k + 1
+                which.append(doc)
+                piece.append(k)
+                start.append(k * capacity)
+                length.append((b - a) // 4 + 1)
+                crc.append(zlib.crc32(end, zlib.crc32(data[a:b])))
+            which = pa.array(which, pa.int64())
+            columns = [part.column(0).take(which), part.column(1).take(which), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text")).mapInArrow(lean(run, "packing"), PIECES_SCHEMA)
 
@@ -301,14 +360,14 @@ def _shards(capacity: int, digits: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, shard_bytes: int = 64 << 20) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, shard_pieces: int = 16_384) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    shard_bytes: about so many bytes of input make a shard (some 10,000 pieces).
+    shard_pieces: the pieces are counted, and dealt to shards of about so many. They are rows of numbers, so the checkpoint that the count reads is small.
     """
-    shards = power_of_two(size_hint(docs.select("doc_id", "text")) / shard_bytes, 1, 1 << 24)
-    cut = pieces(docs, tokenizer, capacity, end_id)
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "row", "piece"), F.lit(shards)).cast("long"))
+    found = cut(pieces(docs, tokenizer, capacity, end_id))
+    shards = max(1, -(-found.count() // shard_pieces))
+    dealt = found.withColumn("shard", F.pmod(F.xxhash64("doc_id", "row", "piece"), F.lit(shards)).cast("long"))
     schema = PIECES_SCHEMA + ", shard long, sequence_id long, offset long, room long"
     packed = dealt.groupBy("shard").applyInArrow(lean_group(_shards(capacity, 32)), schema)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]

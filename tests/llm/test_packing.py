@@ -75,3 +75,20 @@ def test_search_ends_only_when_no_underfull_bin_can_give():
         for g, (fill, sizes, _) in enumerate(held):
             for room, backs in ((2048 - f, backs) for k, (f, _, backs) in enumerate(held) if k != g and f >= fill):
                 assert not any(s < x <= s + room for x in sizes for s in backs)
+
+
+def test_a_table_of_unknown_size_reaches_the_bound(spark):
+    docs = spark.createDataFrame([(i, "one two three four five six seven eight nine") for i in range(200)], "doc_id long, text string")
+    got = packing.pack(docs, PATH)
+    assert got.select("sequence_id").distinct().count() == -(-got.agg({"length": "sum"}).head()[0] // 2048)
+
+
+def test_other_tokenizers_encode_whole_texts():
+    from tokenizers import Tokenizer
+
+    texts = ["One  two, three.\nFour's 12½ İstanbul", "", " x", "<|endoftext|> a<|b"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = str(public_tokenizers.path(name))
+        ids = packing.Ids(path)
+        assert ids.by_words == (name == "word_bpe_49k.json")
+        assert [np.frombuffer(x, "<u4").tolist() for x in ids(texts)] == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
