@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Most rows and bytes of text that a Python worker turns into objects at once.
 SLICE_ROWS, SLICE_BYTES = 4000, 8_000_000
@@ -48,11 +49,15 @@ def size_hint(df: DataFrame, unknown: int = 1 << 32) -> int:
     return size if 0 < size < 1 << 56 else unknown
 
 
-def power_of_two(x: float, least: int, most: int) -> int:
-    n = least
-    while n < x and n < most:
-        n *= 2
-    return n
+def spread_join(rows: DataFrame, by: DataFrame, key: str, times: str, total: int, few: int = 1000, parts: int = 64) -> DataFrame:
+    """rows left-joined with `by`, which has one row a key and how many of the `total` rows have it (`times`, dropped from the result).
+
+    A key of more than total / few rows is one of fewer than `few` such keys, so a broadcast of these is bounded; it is split into `parts`.
+    """
+    hot = by.filter(F.col(times) * few > total).select(key, F.lit(True).alias("_hot"))
+    left = rows.join(F.broadcast(hot), key, "left").withColumn("_part", F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(parts))).otherwise(F.lit(0).cast("long"))).drop("_hot")
+    every = F.when(F.col(times) * few > total, F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    return left.join(by.withColumn("_part", F.explode(every)).drop(times), [key, "_part"], "left").drop("_part")
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

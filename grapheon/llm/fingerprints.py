@@ -1,7 +1,8 @@
 """Which fingerprints occur more than once: a distributed count that moves about four bytes for each.
 
 Documents are taken in batches of bounded size. A batch's distinct 64-bit fingerprints, sorted, are dealt
-to buckets by their upper bits; a bucket row holds the next 32 bits of each. A bucket counts them over all batches and
+to buckets by their upper bits; a bucket row holds the next 32 bits of each. Buckets grow in number with the table, so that each stays a task's work; one takes
+the fingerprints of many megabytes of text, so that a row holds many entries (tens at 30 GB; beyond some terabytes rows become short, and what is around an entry outweighs it). A bucket counts them over all batches and
 gives back one byte for each entry in the same order: the bit length of the count. Since buckets are ranges of the sorted
 order, the bytes of all buckets laid end to end line up with the batch's fingerprints again. A fingerprint sends one
 entry for each batch, however often it occurs there, so no group grows with a fingerprint's popularity in a batch. Two
@@ -24,6 +25,11 @@ ROWS = "kind int, batch long, bucket int, a binary, b binary, c binary, d binary
 _NAMES = ["kind", "batch", "bucket", "a", "b", "c", "d"]
 
 
+def bucket_bits(size: int, each: int, least: int = 16) -> int:
+    """Bits of a bucket's number, for about `each` bytes of the input in a bucket. Not capped but by the 32-bit numbers of buckets."""
+    return min(31, max(least - 1, -(-size // each) - 1).bit_length())
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalizer of a 64-bit hash."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -42,18 +48,17 @@ def batch_ids():
 
 def batch_rows(batch: int, home: tuple[bytes, ...], found: np.ndarray, counts: np.ndarray | None, bits: int) -> pa.RecordBatch:
     """The home row of a batch and a row for each bucket. found: sorted distinct uint64; counts: how often each occurs, if that matters."""
-    edges = np.searchsorted(found >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
+    upper = (found >> np.uint64(64 - bits)).astype(np.int64)
+    edges = np.append(np.flatnonzero(np.diff(upper, prepend=-1)), len(upper))
     low = ((found >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype("<u4")
     more = None if counts is None else np.minimum(counts, 65535).astype("<u2")
-    full = np.flatnonzero(np.diff(edges))
     kind, bucket, a, b = [0], [0], [home[0]], [home[1]]
-    for k in full:
-        s, e = edges[k], edges[k + 1]
+    for s, e in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
         kind.append(1)
-        bucket.append(int(k))
+        bucket.append(int(upper[s]))
         a.append(low[s:e].tobytes())
         b.append(b"" if more is None else more[s:e].tobytes())
-    rest = [b""] * len(full)
+    rest = [b""] * (len(edges) - 1)
     columns = [pa.array(kind, pa.int32()), pa.array([batch] * len(kind), pa.int64()), pa.array(bucket, pa.int32()), pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array([home[2], *rest], pa.binary()), pa.array([home[3], *rest], pa.binary())]
     return pa.RecordBatch.from_arrays(columns, names=_NAMES)
 
@@ -110,12 +115,3 @@ def unsqueezed(data: bytes) -> bytes:
 
 def starts(lengths: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-
-
-def pieces_of(data: np.ndarray, bounds: np.ndarray):
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        yield data[a:b]
-
-
-def salted(key: str, parts: int):
-    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("long")

@@ -1,7 +1,7 @@
 """N-gram Jaccard join by prefix trees, with connected components.
 
-A document's set holds its distinct word n-grams as 64-bit hashes. Documents with equal sets form a class, and the class's smallest
-id stands for it. Then, all exact:
+A document's set holds its distinct word n-grams as 64-bit hashes. Documents with equal sets form a class, and one of them
+stands for it. Then, all exact:
 
 1. A set with more than a fifth of n-grams that no other set has can have no partner (at a threshold of 0.8). A sample of the n-grams
    (those whose hash has two low zero bits) shows most of these; of the rest all n-grams are counted, and the
@@ -15,9 +15,9 @@ id stands for it. Then, all exact:
 4. A block of more than `block_sets` sets is dealt to chunks. Each chunk is joined with itself and with the block's `pivots`; then sets
    outside of the block's largest component are joined with all chunks, chunk by chunk. So every pair in different components has met.
 
-Documents with no words have an empty set and are linked with nothing. A null text is an empty text; a null doc_id is treated as the
-largest id and comes back as null. Rows that repeat a doc_id are rows of their own; they share what any of them is linked with. Columns
-other than doc_id and text are ignored. An empty table gives an empty result.
+Documents with no words have an empty set and are linked with nothing. A null text is an empty text; a null doc_id counts as larger than any other, so a
+component's id is null only if all of its rows have none. Rows that repeat a doc_id are documents of their own: inside, classes have numbers, and ids are only looked up for
+the result. Classes with many rows are split in that join. Columns other than doc_id and text are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,15 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from grapheon.llm.common import cut, lean, lean_group, power_of_two, size_hint, slices
+from grapheon.llm.common import cut, lean, lean_group, size_hint, slices, spread_join
 from grapheon.llm.components import components
-from grapheon.llm.fingerprints import ROWS, batch_ids, batch_rows, mix, squeezed, starts, unsqueezed, with_counts
+from grapheon.llm.fingerprints import ROWS, batch_ids, batch_rows, bucket_bits, mix, squeezed, starts, unsqueezed, with_counts
 
-NULL_ID = (1 << 63) - 1
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
-SETS = "doc_id long, n_shingles long, set_key binary"
-SMALL = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary())])
-BIG = pa.schema([*SMALL, ("packed", pa.binary())])
+SETS = "doc_id long, n_shingles long, set_key binary, text_key long"
+SMALL = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("text_key", pa.int64())])
+CLASS = pa.schema([("set_key", pa.binary()), ("packed", pa.binary())])
 
 
 class Words(dict):
@@ -83,7 +82,8 @@ def _sketch(n: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, names = Words(), batch_ids()
         for part in slices(batches):
-            ids = part.column(0).to_numpy(zero_copy_only=False)
+            nulls = part.column(0).is_null().to_numpy(zero_copy_only=False)
+            ids = part.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
             sizes, keys, sample, owner = [], [], [], []
             for i, t in enumerate(texts):
@@ -99,76 +99,89 @@ def _sketch(n: int, bits: int):
             found, at, times = np.unique(h, return_index=True, return_counts=True)
             lone = np.where(times == 1, d[at], 65535).astype("<u2")  # the one document that has it
             lengths = np.array([len(t) for t in texts], "<i8")
-            meta = ids.astype("<i8").tobytes() + np.array(sizes, "<i8").tobytes() + lengths.tobytes()
+            meta = np.array([ids, sizes, lengths, nulls, part.column(2).to_numpy(zero_copy_only=False)], "<i8").tobytes()
             yield batch_rows(next(names), (meta, b"".join(keys), squeezed(b"".join(texts)), lone.tobytes()), found, None, bits)
 
     return run
 
 
 def _parts(home: tuple[bytes, ...]):
-    meta = np.frombuffer(home[0], "<i8").reshape(3, -1)
+    """Ids, set sizes, text lengths, whether the id is null, and text keys of a batch's documents, and their sets' keys."""
+    meta = np.frombuffer(home[0], "<i8").reshape(5, -1)
     keys = home[1]
-    return meta[0], meta[1], meta[2], [keys[16 * i : 16 * i + 16] for i in range(meta.shape[1])]
+    return *meta, [keys[16 * i : 16 * i + 16] for i in range(meta.shape[1])]
 
 
 def _all_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in batches:
         for a, b in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-            ids, sizes, _, keys = _parts((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sizes), pa.array(keys, pa.binary())], schema=SMALL)
+            ids, sizes, _, nulls, text, keys = _parts((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, mask=nulls.astype(bool)), pa.array(sizes), pa.array(keys, pa.binary()), pa.array(text)], schema=SMALL)
+
+
+def may_differ(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether a set of so many n-grams can be linked with another one: at best with one that has one n-gram more or less."""
+    return 100 * sizes >= percent * (sizes + 1)
 
 
 def _left_over(percent: int):
     """Of a batch: the sets that the sample leaves, one of each class."""
 
     def finish(batch: int, home: tuple[bytes, ...], lengths: np.ndarray) -> pa.Table:
-        ids, sizes, texts, keys = _parts(home)
-        count = len(ids)
+        _, sizes, texts, _, _, keys = _parts(home)
+        count = len(sizes)
         lone = np.frombuffer(home[3], "<u2")
         unique = np.bincount(lone[(lengths == 1) & (lone != 65535)], minlength=count)[:count]
         most = sizes - np.array([overlap_needed(int(s), percent) for s in sizes], np.int64)
-        stay = (unique <= most) & (sizes >= 4)  # sets of up to 3 are linked with equal ones only
+        stay = (unique <= most) & may_differ(sizes, percent) & (sizes > 0)
         first: dict[bytes, int] = {}
         for i in np.flatnonzero(stay):
-            if keys[i] not in first or ids[i] < ids[first[keys[i]]]:
-                first[keys[i]] = int(i)
-        data, at, out = unsqueezed(home[2]), starts(texts), []
-        for i in sorted(first.values()):
-            out.append((int(ids[i]), int(sizes[i]), keys[i], squeezed(data[at[i] : at[i + 1]])))  # a text takes less room than its set
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, BIG.types, strict=True)], schema=BIG)
+            first.setdefault(keys[i], int(i))
+        data, at = unsqueezed(home[2]), starts(texts)
+        packed = [squeezed(data[at[i] : at[i + 1]]) for i in first.values()]  # a text takes less room than its set
+        return pa.table([pa.array(list(first), pa.binary()), pa.array(packed, pa.binary())], schema=CLASS)
 
     return finish
 
 
 def _second(n: int, bits: int, most: int = 1_000_000):
-    """Batches of class representatives; home: ids, and the texts, squeezed one by one."""
+    """Batches of classes; home: their numbers, the texts, squeezed one by one, and the sets' keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, words = batch_ids(), Words()
         ids: list[int] = []
+        keys: list[bytes] = []
         texts: list[bytes] = []
         sets: list[np.ndarray] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
             found, times = np.unique(np.concatenate(sets), return_counts=True)
-            return batch_rows(next(names), (np.array(ids, "<i8").tobytes(), np.array([len(t) for t in texts], "<i8").tobytes(), b"".join(texts), b""), found, times, bits)
+            return batch_rows(next(names), (np.array(ids, "<i8").tobytes(), np.array([len(t) for t in texts], "<i8").tobytes(), b"".join(texts), b"".join(keys)), found, times, bits)
 
         for part in batches:
-            for i, t in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+            for i, key, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), strict=True):
                 ids.append(i)
+                keys.append(key)
                 texts.append(t.as_py())
                 sets.append(shingle_set(unsqueezed(texts[-1]), words, n))
                 held += len(sets[-1])
                 if held >= most:
                     yield flush()
-                    ids, texts, sets, held = [], [], [], 0
+                    ids, keys, texts, sets, held = [], [], [], [], 0
         if ids:
             yield flush()
 
     return run
 
 
+def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes' numbers and their sets' keys."""
+    for part in batches:
+        for a, d in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(a, "<i8")), pa.array([d[i : i + 16] for i in range(0, len(d), 16)], pa.binary())], names=["node", "set_key"])
+
+
 ORDERED = "doc_id long, n long, shared binary, prefix array<long>"
 
 
@@ -392,27 +405,48 @@ def links(ordered: DataFrame, percent: int, block_sets: int = 1024, pivots: int
     return found.unionByName(first).unionByName(late)
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, block_sets: int = 1024) -> DataFrame:
-    """doc_id, n_shingles, component_id of each row of docs: components of links with 100 * overlap >= percent * union."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
-    bits = power_of_two(size_hint(rows) / (256 << 10), 16, 1 << 20).bit_length() - 1
+def _classified(docs: DataFrame, n: int, percent: int, block_sets: int) -> DataFrame:
+    """doc_id, n_shingles, text_key (a hash of the text), component_id and label (what names the component, also where all of its ids are null) of each row."""
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"))
+    bits = bucket_bits(size_hint(rows), 8 << 20)
     sketch = cut(rows.mapInArrow(lean(_sketch(n, bits)), ROWS))
     sets = sketch.filter("kind = 0").select("a", "b").mapInArrow(lean(_all_sets), SETS)
-    first = sets.groupBy("set_key", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    classes = cut(sets.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"), F.count("*").alias("times")))
 
-    left = with_counts(sketch, _left_over(percent), SETS + ", packed binary")
-    reps = left.groupBy("set_key").agg(F.min(F.struct("doc_id", "packed")).alias("x")).select("x.doc_id", "x.packed")
+    left = with_counts(sketch, _left_over(percent), "set_key binary, packed binary")
+    reps = left.groupBy("set_key").agg(F.min("packed").alias("packed")).select(F.monotonically_increasing_id().alias("node"), "set_key", "packed")
     second = cut(reps.mapInArrow(lean(_second(n, bits)), ROWS))
     ordered = cut(with_counts(second, _ordered(n, percent), ORDERED))
-    root = components(links(ordered, percent, block_sets)).select(F.col("node").alias("rep"), "root")
+    root = components(links(ordered, percent, block_sets))
+    names = second.filter("kind = 0").select("a", "d").mapInArrow(lean(_names), "node long, set_key binary")
+    member = cut(root.join(names, "node").join(classes, "set_key").select("set_key", "root", "least"))
+    by_root = member.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("held"))
+    linked = spread_join(member.select("set_key", "root"), by_root, "root", "held", member.count())
+
+    # only classes of several rows, or with links, say more than a row itself
+    known = classes.join(linked.select("set_key", "root", "component"), "set_key", "left").filter("times > 1 or root is not null")
+    known = known.select("set_key", "root", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component")).alias("component"), "times", F.lit(True).alias("known"))
+    alone = F.encode(F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string")), "utf-8")
+    keyed = sets.withColumn("set_key", F.when(F.col("n_shingles") > 0, F.col("set_key")).otherwise(alone))  # an empty set is no key that many rows share
+    total = classes.agg(F.coalesce(F.sum("times"), F.lit(0))).head()[0]
+    out = spread_join(keyed, known, "set_key", "times", total)
+    label = F.when(F.col("root").isNotNull(), F.encode(F.col("root").cast("string"), "utf-8")).otherwise(F.col("set_key"))
+    return out.select("doc_id", "n_shingles", "text_key", F.when(F.col("known"), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), label.alias("label"))
+
 
-    out = sets.join(first, ["set_key", "n_shingles"]).withColumn("rep", F.when(F.col("n_shingles") > 0, F.col("rep")).otherwise(F.col("doc_id")))
-    out = out.join(root, "rep", "left").withColumn("component", F.coalesce("root", "rep"))
-    null = F.lit(None).cast("long")
-    return out.select(F.when(F.col("doc_id") == NULL_ID, null).otherwise(F.col("doc_id")).alias("doc_id"), "n_shingles", F.when(F.col("component") == NULL_ID, null).otherwise(F.col("component")).alias("component_id"))
+def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, block_sets: int = 1024) -> DataFrame:
+    """doc_id, n_shingles, component_id of each row of docs: components of links with 100 * overlap >= percent * union."""
+    return _classified(docs, n, percent, block_sets).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of its component; all columns as they are."""
-    found = near_duplicates(docs, n, percent).filter("component_id is null or doc_id = component_id").select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_semi")
+    """One row of docs for each component, with all its columns: that of the smallest id (a null one is the largest), of equal ids that of the smallest hash of its text."""
+    rows = _classified(docs, n, percent, 1024)
+    first = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("x"))
+    keys = [F.col("x.none").alias("__none"), F.coalesce("x.doc_id", F.lit(0)).alias("__id"), F.col("x.text_key").alias("__text")]
+    found = first.select(*keys, F.col("label").alias("__label")).groupBy("__none", "__id", "__text").agg(F.count("*").alias("__rows"))
+    own = docs.withColumns({"__none": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__text": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+    joined = own.join(found, ["__none", "__id", "__text"])
+    nth = F.row_number().over(Window.partitionBy("__none", "__id", "__text").orderBy("__rows"))  # rows that repeat id and text: as many stay as there are components of them
+    return joined.withColumn("__nth", nth).filter("__nth <= __rows").select(*(F.col(f"`{c}`") for c in docs.columns))

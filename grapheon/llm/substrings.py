@@ -31,11 +31,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grapheon.llm.common import cut, lean, lean_group, power_of_two, size_hint, slices
-from grapheon.llm.fingerprints import ROWS, batch_ids, batch_rows, by_batch, homes, mix, squeezed, starts, unsqueezed, with_counts
+from grapheon.llm.common import cut, lean, lean_group, size_hint, slices
+from grapheon.llm.fingerprints import ROWS, batch_ids, batch_rows, bucket_bits, by_batch, homes, mix, squeezed, starts, unsqueezed, with_counts
 from grapheon.llm.suffixes import permuted_prefixes, suffix_array
 
-NULL_ID = (1 << 63) - 1
+#: A null id is taken for the largest one, and its documents for later than those that have it: this is added to their starts.
+NULL_ID, BEHIND = (1 << 63) - 1, 1 << 62
 GRAM = 32
 SPAN = 1 << 16  # windows that are looked at together
 #: Bytes of text in a batch.
@@ -88,13 +89,14 @@ def _sketch(length: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = batch_ids()
         for part in slices(batches, most=BATCH):
-            ids = part.column(0).to_numpy(zero_copy_only=False)
+            nulls = part.column(0).is_null().to_numpy(zero_copy_only=False).astype("u1")
+            ids = part.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
             texts = [t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()]
             sizes = np.array([len(t) for t in texts], "<i8")
             data = b"".join(texts)
             h, _, _ = anchors(np.frombuffer(data, np.uint8), starts(sizes), length)
             rest = squeezed(_packed(part.select([2]))) if part.num_columns > 2 else b""
-            yield batch_rows(next(names), (ids.astype("<i8").tobytes(), sizes.tobytes(), squeezed(data), rest), np.unique(h), None, bits)
+            yield batch_rows(next(names), (ids.astype("<i8").tobytes(), sizes.tobytes() + nulls.tobytes(), squeezed(data), rest), np.unique(h), None, bits)
 
     return run
 
@@ -106,23 +108,27 @@ def _packed(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _home(home: tuple[bytes, ...]) -> tuple[np.ndarray, np.ndarray, bytes]:
-    return np.frombuffer(home[0], "<i8"), np.frombuffer(home[1], "<i8"), unsqueezed(home[2])
+def _home(home: tuple[bytes, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """Ids, sizes and whether the id is null, of a batch's documents, and their bytes."""
+    ids = np.frombuffer(home[0], "<i8")
+    return ids, np.frombuffer(home[1], "<i8", len(ids)), np.frombuffer(home[1], "u1", len(ids), 8 * len(ids)), unsqueezed(home[2])
 
 
 def _contexts(length: int, bits: int):
     """Of a batch: contexts for the shards (kind 1), and byte ranges that the batch itself shows to be repeats (kind 2)."""
 
     def finish(batch: int, home: tuple[bytes, ...], lengths: np.ndarray) -> pa.Table:
-        ids, sizes, data = _home(home)
+        ids, sizes, nulls, data = _home(home)
         bounds = starts(sizes)
+        behind = nulls.astype(np.int64) << 62
         h, first, last = anchors(np.frombuffer(data, np.uint8), bounds, length)
         found, inverse, times = np.unique(h, return_inverse=True, return_counts=True)
         take = np.flatnonzero(((lengths > 1) | (times > 1))[inverse])
         doc = np.searchsorted(bounds, first[take], "right") - 1
         owner = ids[doc]
-        order = np.lexsort((first[take] - bounds[doc], owner))  # earliest first
-        take, doc, owner = take[order], doc[order], owner[order]
+        begin = first[take] - bounds[doc] + behind[doc]
+        order = np.lexsort((begin, owner))  # earliest first
+        take, doc, owner, begin = take[order], doc[order], owner[order], begin[order]
         held: dict[bytes, int] = {}
         kept, gone, texts = [], [], []
         place = list(zip(first[take].tolist(), (last[take] + length).tolist(), strict=True))
@@ -132,7 +138,7 @@ def _contexts(length: int, bits: int):
             if seen == k:
                 kept.append(k)
                 texts.append(text)
-            elif owner[seen] != owner[k] or place[seen][0] - bounds[doc[seen]] != a - bounds[doc[k]]:
+            elif owner[seen] != owner[k] or begin[seen] != begin[k]:
                 gone.append(k)
             else:  # the same place of a row that repeats the document: judged by the shard, like the first
                 kept.append(k)
@@ -145,12 +151,11 @@ def _contexts(length: int, bits: int):
         for s, e in zip(edges, np.append(edges, len(by))[1:], strict=True):
             part = by[s:e]
             k = kept[part]
-            begin = first[take[k]] - bounds[doc[k]]
-            rows.append((1, batch, int(shard[part[0]]), np.array([len(texts[i]) for i in part], "<u2").tobytes(), squeezed(b"".join(texts[i] for i in part)), owner[k].astype("<i8").tobytes(), np.array([doc[k], begin], "<i8").tobytes()))
+            rows.append((1, batch, int(shard[part[0]]), np.array([len(texts[i]) for i in part], "<u2").tobytes(), squeezed(b"".join(texts[i] for i in part)), owner[k].astype("<i8").tobytes(), np.array([doc[k], begin[k]], "<i8").tobytes()))
         if len(gone):
-            begin = first[take[gone]] - bounds[doc[gone]]
+            at = first[take[gone]] - bounds[doc[gone]]
             end = last[take[gone]] + length - bounds[doc[gone]]
-            rows.append((2, batch, batch & ((1 << bits) - 1), np.array([doc[gone], begin, end], "<i8").tobytes(), b"", b"", b""))
+            rows.append((2, batch, batch & ((1 << bits) - 1), np.array([doc[gone], at, end], "<i8").tobytes(), b"", b"", b""))
         types = [pa.int32(), pa.int64(), pa.int32()] + [pa.binary()] * 4
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, types, strict=True)], names=["kind", "batch", "bucket", "a", "b", "c", "d"])
 
@@ -211,11 +216,13 @@ def _judge(length: int):
                 if seen == k or (owner[seen] == owner[k] and begin[seen] == begin[k]):
                     kept.append(k)
                 else:
-                    gone.append((int(batch[k]), int(doc[k]), int(begin[k]), int(begin[k]) + len(texts[k])))
+                    at = int(begin[k]) & ~BEHIND
+                    gone.append((int(batch[k]), int(doc[k]), at, at + len(texts[k])))
             kept = np.array(kept)
             for c, a, b in repeats([texts[k] for k in kept], owner[kept], begin[kept], length):
                 k = kept[c]
-                gone.append((int(batch[k]), int(doc[k]), int(begin[k]) + a, int(begin[k]) + b))
+                at = int(begin[k]) & ~BEHIND
+                gone.append((int(batch[k]), int(doc[k]), at + a, at + b))
         if gone:
             found = np.array(gone, "<i8")
             found = found[np.argsort(found[:, 0], kind="stable")]
@@ -243,7 +250,7 @@ def united(ranges: np.ndarray) -> list[tuple[int, int]]:
 def _removed(batch_tables: tuple[pa.Table, pa.Table]) -> Iterator[tuple[int | None, bytes, list[tuple[int, int]]]]:
     """Id, text and removed runs of each document of a batch."""
     home, more = batch_tables
-    ids, sizes, data = _home(tuple(home.column(c)[0].as_py() for c in "abcd"))
+    ids, sizes, nulls, data = _home(tuple(home.column(c)[0].as_py() for c in "abcd"))
     bounds = starts(sizes)
     found = [np.frombuffer(x, "<i8").reshape(3, -1) for x in more.column("a").to_pylist()]
     ranges = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
@@ -251,7 +258,7 @@ def _removed(batch_tables: tuple[pa.Table, pa.Table]) -> Iterator[tuple[int | No
     edges = np.searchsorted(ranges[0], np.arange(len(ids) + 1))
     for i, d in enumerate(ids.tolist()):
         runs = united(ranges[1:, edges[i] : edges[i + 1]].T)
-        yield None if d == NULL_ID else d, data[bounds[i] : bounds[i + 1]], runs
+        yield None if nulls[i] else d, data[bounds[i] : bounds[i + 1]], runs
 
 
 def _without(text: bytes, runs: list[tuple[int, int]]) -> bytes:
@@ -290,12 +297,15 @@ def _texts(columns: list[str]):
 
 
 def _run(docs: DataFrame, length: int, finish, schema, carried: bool = False) -> DataFrame:
-    columns = [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.col("text").cast("string").alias("text")]
-    bits = power_of_two(size_hint(docs.select(columns)) / (1 << 20), 16, 1 << 20).bit_length() - 1
+    if not GRAM <= length < 1 << 15:
+        raise ValueError(f"length isn't from {GRAM} to {(1 << 15) - 1}")  # an anchor's string lies in its windows, and a context's size takes 16 bits
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    size = size_hint(docs.select(columns))
+    bits, shard_bits = bucket_bits(size, 16 << 20), bucket_bits(size, 1 << 20)
     if carried:
         columns.append(F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns) if c != "text")).alias("row"))
     sketch = cut(docs.select(columns).mapInArrow(lean(_sketch(length, bits)), ROWS))
-    contexts = with_counts(sketch, _contexts(length, bits), ROWS)
+    contexts = with_counts(sketch, _contexts(length, shard_bits), ROWS)
     ranges = contexts.groupBy("bucket").applyInArrow(lean_group(_judge(length)), ROWS)
     return by_batch(homes(sketch), ranges, finish, schema)
 

@@ -65,6 +65,26 @@ def test_odd_rows(spark):
     assert got(spark, []) == []
 
 
+@pytest.mark.parametrize("percent", [50, 75, 80, 100])
+def test_other_thresholds(spark, percent):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f"), (3, "a b c d e"), (4, "a b c d e f g h"), (5, "x a b c d e"), ((1 << 63) - 1, "p q r"), (None, "p q r"), ((1 << 63) - 1, "z z z")]
+    rows += [(100 + i, t) for i, (_, t) in enumerate(near_copies(3, 5, 6, 12, 2))]
+    assert got(spark, rows, percent=percent) == brute(rows, percent)
+
+
+def test_hot_classes_and_many_empty_rows(spark):
+    rows = [(i, "a b c d e f") for i in range(300)] + [(1000 + i, None) for i in range(300)] + [(5000, "a b c d e f g"), (5001, "q w e r t y")]
+    assert got(spark, rows) == brute(rows)
+
+
+def test_keep_one_with_repeated_rows_and_null_ids(spark):
+    rows = [(5, "a b c d e f"), (5, "a b c d e f"), (7, "a b c d e f"), (None, "a b c d e f"), (None, "k l m"), (None, "n o p"), (None, "k l m"), (9, "u v"), (9, "x y"), (8, ""), (8, "")]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(5, "a b c d e f"), (None, "k l m"), (None, "n o p"), (9, "u v"), (9, "x y"), (8, ""), (8, "")], key=str)
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert jaccard.keep_one(empty).collect() == []
+
+
 def test_keep_one_keeps_columns_and_one_of_each_group(spark):
     df = spark.createDataFrame([(2, "a b c d e f", "x", 1), (1, "a b c d e f", "y", 2), (3, "", "z", 3)], "doc_id long, text string, root string, n_shingles int")
     kept = jaccard.keep_one(df)

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from grapheon.llm import substrings
+from grapheon.llm.fingerprints import batch_rows, bucket_bits
 from grapheon.llm.suffixes import permuted_prefixes, suffix_array
 
 
@@ -56,11 +57,28 @@ def test_matches_brute_force(spark):
 def test_odd_rows(spark):
     rng = random.Random(6)
     text = words(rng, 80)
-    rows = [(1, None), (2, ""), (3, "a" * 99), (4, "a" * 100), (5, "a" * 1000), (6, "ab" * 300), (7, text), (7, text), (7, text[3:]), (None, text), (None, "z" * 150), (8, text + "\0" + text), (9, "\0" * 250), (10, words(rng, 30_000))]
+    rows = [(1, None), (2, ""), (3, "a" * 99), (4, "a" * 100), (5, "a" * 1000), (6, "ab" * 300), (7, text), (7, text), (7, text[3:]), (None, text), (None, "z" * 150), ((1 << 63) - 1, text + "!"), ((1 << 63) - 1, "z" * 150), (8, text + "\0" + text), (9, "\0" * 250), (10, words(rng, 30_000))]
     assert got(spark, rows) == brute(rows, 100)
     assert got(spark, []) == []
 
 
+@pytest.mark.parametrize("bits", [4, 10, 20])
+def test_rows_of_a_batch(bits):
+    found = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 5000, np.int64).astype(np.uint64) << np.uint64(1))
+    rows = batch_rows(7, (b"", b"", b"", b""), found, None, bits)
+    assert rows.num_rows - 1 <= min(5000, 1 << bits)
+    low = np.frombuffer(b"".join(rows.column(3).to_pylist()[1:]), "<u4")
+    bucket = np.repeat(rows.column(2).to_numpy()[1:], [len(x) // 4 for x in rows.column(3).to_pylist()[1:]])
+    assert np.array_equal(bucket.astype(np.uint64) << np.uint64(32) | low, found >> np.uint64(32 - bits))
+    assert [bucket_bits(int(g * 1e9), 16 << 20) for g in (0.1, 0.5, 30, 1e5)] == [4, 5, 11, 23]
+
+
+def test_lengths_that_anchors_dont_fit_are_refused(spark):
+    for length in (31, 1 << 15):
+        with pytest.raises(ValueError):
+            substrings.remove_repeats(spark.createDataFrame([(1, "a")], "doc_id long, text string"), length)
+
+
 def test_stripped_texts_keep_columns_and_whole_characters(spark):
     rng = random.Random(7)
     text = "".join(rng.choice("äöüßé") for _ in range(300))
