@@ -383,3 +383,6 @@ def notation_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def notation_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = notation.attributes(notation.elements(notation.declarations(_nation_sources(spark, sf_dir))))
     return found.select("owner", F.col("attributes")["code"]["num"].alias("num"), F.col("attributes")["code"]["unit"].alias("unit"))
+
+
+from grapheon import queries_survey  # noqa: E402, F401  it registers its queries here
