@@ -17,11 +17,11 @@ from grapheon.notation.resolve import Module
 from grapheon.notation.statements import Declaration, parse
 from grapheon.sources.files import module_of
 
-VALUE = "struct<num: double, str: string, bool: boolean, unit: string, text: string, reference: string, expression: string, operator: string>"
+VALUE = "struct<num: double, str: string, bool: boolean, unit: string, text: string, reference: string, expression: string, operator: string, tree: string>"
 _PARSED = f"""module string, path string, ord int, owner_ord int, kind string, name string, short_name string, is_definition boolean, line int, column int, modifiers array<string>,
 visibility string, direction string, conjugated boolean, relation string, multiplicity struct<text: string, lower: int, upper: int>, value {VALUE}, expression {VALUE}, doc string,
 comments array<string>, annotations array<struct<name: string, values: map<string, string>>>, refs array<struct<role: string, parts: array<string>>>, message string"""
-_NAMED = "module string, path string, ord int, identity string, owner string, display string, qualified string, depth int, anonymous boolean, children int"
+_NAMED = "module string, path string, ord int, identity string, owner string, display string, called string, qualified string, depth int, anonymous boolean, children int"
 _EDGES = "module string, path string, line int, src string, label string, dst string, written string, external boolean, emitted int, detail map<string, string>"
 _KEYS = VALUE[7:-1].replace(":", "").split(", ")
 _VALUE_KEYS = [k.split(" ")[0] for k in _KEYS]
@@ -90,15 +90,15 @@ def _module(pdf: pd.DataFrame) -> Module:
 
 
 def elements(parsed: DataFrame) -> DataFrame:
-    """Declarations with their names in the module: identity, owner (identity of the encloser), display, qualified, depth, children."""
+    """Declarations with their names in the module: identity, owner (identity of the encloser), display (unique in the module), called (as it stands in the qualified name), qualified, depth, children."""
 
     def named(pdf: pd.DataFrame) -> pd.DataFrame:
         m = _module(pdf)
         own = lambda r: m.by_id[r["owner"]]["identity"] if r["owner"] else None
-        out = [(m.name, r["path"], r["id"][1], r["identity"], own(r), r["display"], r["qualified"], r["depth"], r["anonymous"], len(m.children.get(r["id"], ()))) for r in m.rows]
+        out = [(m.name, r["path"], r["id"][1], r["identity"], own(r), r["unique"], r["display"], r["qualified"], r["depth"], r["anonymous"], len(m.children.get(r["id"], ()))) for r in m.rows]
         return pd.DataFrame(out, columns=[c.strip().split(" ")[0] for c in _NAMED.split(",")])
 
-    slim = parsed.select("module", "path", "ord", "owner_ord", "kind", "name", "short_name", "line", "modifiers", "annotations", "refs")
+    slim = parsed.select("module", "path", "ord", "owner_ord", "kind", "name", "short_name", "line", "modifiers", "annotations", "refs", "is_definition")
     names = slim.groupBy("module").applyInPandas(named, _NAMED)
     rest = parsed.filter("kind <> 'error'").drop("owner_ord", "message")
     slug = F.regexp_replace(F.regexp_replace("identity", "[^A-Za-z0-9_-]+", "_"), "^_+|_+$", "")
@@ -122,6 +122,39 @@ def relations(parsed: DataFrame) -> DataFrame:
     return found.filter("dst is null or src <> dst").withColumn("k", F.row_number().over(once)).filter("k = 1").drop("k", "emitted")
 
 
+def descriptions(found: DataFrame, values: DataFrame | None = None) -> DataFrame:
+    """module, identity, description: a sentence for each element that says only what its declaration does; what a search reads. found: of `elements`; values: of `attributes`."""
+    has = lambda role: F.filter("refs", lambda r: r["role"] == role)
+    listed = lambda role: F.array_join(F.transform(has(role), lambda r: F.array_join(r["parts"], "")), ", ")
+    given = lambda c, *parts: F.when(c, F.concat(*parts))
+    number = lambda x: F.regexp_replace(x.cast("string"), r"\.0$", "")
+    shown = lambda v: F.coalesce(number(v["num"]), v["str"], v["bool"].cast("string"), v["expression"], v["reference"])
+    unit = lambda v: F.coalesce(F.concat(F.lit(" "), v["unit"]), F.lit(""))
+    if values is None:
+        values = attributes(found)
+    kept = F.slice(F.map_entries("attributes"), 1, 6)
+    own = values.select("module", F.col("owner").alias("identity"), F.array_join(F.transform(kept, lambda e: F.concat(e["key"], F.lit(" = "), shown(e["value"]), unit(e["value"]))), ", ").alias("_members"))
+    what = F.concat(F.when(F.array_contains("modifiers", "abstract"), F.lit("abstract ")).otherwise(F.lit("")), "kind", F.when(F.col("is_definition"), F.lit(" definition")).otherwise(F.lit("")))
+    parts = F.concat_ws(
+        ", ",
+        F.concat("display", F.lit(" is a "), what, F.lit(" declared in "), "qualified"),
+        given(F.size(has("type")) > 0, F.lit("typed by "), listed("type")),
+        given(F.size(has("super")) > 0, F.when(F.col("is_definition"), F.lit("specializing ")).otherwise(F.lit("subsetting ")), listed("super")),
+        given(F.size(has("redefines")) > 0, F.lit("redefining "), listed("redefines")),
+        given(F.col("multiplicity").isNotNull(), F.lit("with multiplicity ["), F.col("multiplicity")["text"], F.lit("]")),
+        given(F.col("value").isNotNull(), F.lit("whose value is "), shown(F.col("value")), unit(F.col("value"))),
+        F.col("_members"),
+    )
+    sentence = F.concat_ws(
+        " ",
+        F.concat(parts, F.lit(", at "), "path", F.lit(":"), F.col("line").cast("string"), F.lit(".")),
+        given(F.col("short_name").isNotNull(), F.lit("Also written "), "short_name", F.lit(".")),
+        F.col("doc"),
+        given(F.col("rationale").isNotNull(), F.lit("Rationale: "), "rationale"),
+    )
+    return found.join(own, ["module", "identity"], "left").select("module", "identity", sentence.alias("description"))
+
+
 def edges(related: DataFrame) -> DataFrame:
     return related.filter("dst is not null")
 
@@ -132,6 +165,6 @@ def unresolved(related: DataFrame) -> DataFrame:
 
 def attributes(found: DataFrame) -> DataFrame:
     """owner, attributes: the values of an element's members by name; of equal names the last."""
-    keyed = found.filter("owner is not null and value is not null").withColumn("k", F.coalesce("name", "display"))
+    keyed = found.filter("owner is not null and value is not null").withColumn("k", F.coalesce("name", "called"))
     last = keyed.groupBy("module", "owner", "k").agg(F.max_by("value", F.struct("path", "ord")).alias("v"))
     return last.groupBy("module", "owner").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("k", "v")))).alias("attributes"))

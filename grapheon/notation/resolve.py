@@ -20,6 +20,8 @@ DIRECT = {"redefines": "redefines", "references": "referencesFeature", "value":
 PAIRS = {"flow": "flows", "message": "flows", "send": "sends", "allocation": "allocates", "dependency": "dependsOn", "assign": "assigns"}
 BY_SOURCE = {"satisfies", "verifies", "refines", "derives"}
 DEPTH = 6
+#: Segments of a path that a display name takes before it takes the whole path.
+DISPLAY = 8
 
 
 class Module:
@@ -35,6 +37,7 @@ class Module:
         self.busy: set = set()
         self.known: dict = {}
         self._label()
+        self._show()
 
     def _label(self) -> None:
         """Qualified names; a second declaration of a name gets its line."""
@@ -65,6 +68,42 @@ class Module:
                     low = r["short_name"].lower()
                     self.folded[low] = None if low in self.folded else r
 
+    def _show(self) -> None:
+        """A display name for each declaration, unique in the module: the last segment in capitals, as it is where only one has it and longer by segments of its path else; then what tells them apart."""
+        taken: dict[str, list[dict]] = defaultdict(list)
+        for r in self.rows:
+            taken[r["display"].upper()].append(r)
+        for bare, same in taken.items():
+            waiting, length = same, 1 if len(same) == 1 else 2
+            while waiting:
+                whole = length > DISPLAY
+                by: dict[str, list[dict]] = defaultdict(list)
+                for r in waiting:
+                    path = r["qualified"].upper().split("::")
+                    by[bare if length == 1 else "_".join(path if whole else path[-length:])].append(r)
+                waiting = []
+                for suffix, held in by.items():
+                    for r in held:
+                        r["unique"] = suffix
+                    waiting.extend(held if len(held) > 1 and not whole else ())
+                length += 1
+        # the same path in other letters, or declared again: the one definition of two says so, others take their line, then a number
+        for again in (False, True):
+            groups: dict[str, list[dict]] = defaultdict(list)
+            for r in self.rows:
+                groups[r["unique"]].append(r)
+            for name, held in groups.items():
+                if len(held) < 2:
+                    continue
+                if again:
+                    for n, r in enumerate(held[1:], 2):
+                        r["unique"] = f"{name}_{n}"
+                elif len(held) == 2 and held[0]["is_definition"] != held[1]["is_definition"]:
+                    next(r for r in held if r["is_definition"])["unique"] = f"{name}_DEF"
+                else:
+                    for r in held:
+                        r["unique"] = f"{name}_L{r['line']}"
+
     def member(self, scope: dict | None, name: str, depth: int = DEPTH, skip: dict | None = None) -> dict | None:
         """A member of scope other than skip: its own, else of what it is typed by, specializes or redefines, else an imported one."""
         at = scope["id"] if scope else None
@@ -194,6 +233,10 @@ class Module:
                             yield source, label, to, text, r, {"recursive": "true"} if text.endswith("**") else {}
             for to, text in get("accept"):
                 yield r, "triggeredBy" if kind in ("transition", "succession") else "accepts", to, text, r, {}
+            if kind == "if":
+                for role, branch in (("then", "then"), ("otherwise", "else")):
+                    for to, text in get(role):
+                        yield r, "transitionsTo", to, text, r, {"branch": branch}
             for to, text in get("guard"):
                 yield r, "guardedBy", to, text, r, {}
             yield from self._steps(r, owner, kind, refs, get, previous)

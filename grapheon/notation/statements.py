@@ -7,6 +7,7 @@ holds references or an expression. So a new form is a row of a table.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 from grapheon.notation.lexer import NotationError, Token, tokens
@@ -36,13 +37,13 @@ SLOTS = {
     ":": "type", ":>": "super", ":>>": "redefines", "::>": "references", "=": "value", ":=": "value", "defined by": "type", "typed by": "type", "specializes": "super",
     "subsets": "super", "redefines": "redefines", "references": "references", "conjugates": "conjugate", "conjugate": "conjugate", "disjoint from": "disjointFrom",
     "inverse of": "inverseOf", "unions": "unionOf", "intersects": "intersectionOf", "differences": "differenceOf", "chains": "chainOf", "by": "by", "connect": "ends",
-    "of": "payload", "from": "from", "to": "to", "first": "first", "accept": "accept", "if": "guard", "do": "effect", "then": "then", "via": "via", "for": "for",
+    "of": "payload", "from": "from", "to": "to", "first": "first", "accept": "accept", "if": "guard", "do": "effect", "then": "then", "via": "via", "for": "for", "else": "otherwise",
 }
 #: The slot that begins right after the keyword, where the words that follow are no new name.
 OPENING = {"connect": "ends", "allocate": "from", "bind": "ends", "first": "first", "then": "then", "import": "imported", "send": "payload", "assign": "to", "filter": "value", "expose": "exposed", "accept": "accept", "if": "guard", "while": "guard"}
 EXPRESSIONS = {"value", "guard"}
 # Binary operators, those that bind least first.
-LEVELS = [("implies",), ("|", "or", "xor"), ("&", "and"), ("==", "!=", "===", "!=="), ("<", ">", "<=", ">="), ("..",), ("+", "-"), ("*", "/", "%"), ("^",)]
+LEVELS = [("??",), ("implies",), ("|", "or"), ("xor",), ("&", "and"), ("==", "!=", "===", "!=="), ("<", ">", "<=", ">="), ("..",), ("+", "-"), ("*", "/", "%"), ("^",)]
 _LEVEL = {x: i for i, level in enumerate(LEVELS) for x in level}
 _CLOSED = {"(": ")", "[": "]"}
 
@@ -170,7 +171,7 @@ def value_of(toks: list[Token]) -> dict | None:
     names = chains(toks)
     if len(names) == 1 and 2 * len(toks) - 1 >= len(names[0]) == len(toks):
         return {"reference": "".join(names[0]), "text": text}
-    return {"expression": text, "operator": _operator(toks), "text": text}
+    return {"expression": text, "operator": _operator(toks), "text": text, "tree": json.dumps(tree(toks), ensure_ascii=False)}
 
 
 def _operator(toks: list[Token]) -> str:
@@ -192,6 +193,99 @@ def _operator(toks: list[Token]) -> str:
     return "if" if toks[0].text == "if" else "index" if toks[-1].text == "]" else "call" if toks[-1].text == ")" else "expression"
 
 
+class _Tree:
+    """An expression's tokens to nested lists, an operator and its operands, by binding powers."""
+
+    def __init__(self, toks: list[Token]):
+        self.toks, self.at = toks, 0
+
+    def next(self, *texts: str) -> bool:
+        """Whether the next token is one of these; then it is taken."""
+        t = self.toks[self.at] if self.at < len(self.toks) else None
+        if t is None or t.kind not in ("op", "word") or t.text not in texts:
+            return False
+        self.at += 1
+        return True
+
+    def binary(self, least: int = 0) -> list:
+        left = self.unary()
+        while self.at < len(self.toks):
+            t = self.toks[self.at]
+            level = _LEVEL.get(t.text, -1) if t.kind in ("op", "word") else -1
+            if level < least:
+                break
+            self.at += 1
+            left = [t.text, left, self.binary(level + 1)]
+        return left
+
+    def unary(self) -> list:
+        sign = self.toks[self.at].text if self.at < len(self.toks) else ""
+        if self.next("-", "+", "~", "!", "not", "all"):
+            return ["unary " + sign, self.unary()]
+        return self.postfix(self.primary())
+
+    def arguments(self, end: str) -> list:
+        out: list = []
+        while self.at < len(self.toks) and not self.next(end):
+            before = self.at
+            out.append(self.binary())
+            self.next(",", "=")
+            self.at += self.at == before
+        return out
+
+    def postfix(self, node: list) -> list:
+        while self.at < len(self.toks):
+            t = self.toks[self.at]
+            if self.next("("):
+                node = ["call", node, *self.arguments(")")]
+            elif self.next("["):
+                inner = self.arguments("]")
+                node = ["quantity" if node[0] == "number" else "index", node, *inner]
+            elif self.next("->", "?.", "."):
+                node = [t.text, node, self.primary()]
+            elif self.next("as", "istype", "hastype", "meta"):
+                node = [t.text, node, self.primary()]
+            else:
+                break
+        return node
+
+    def primary(self) -> list:
+        if self.at >= len(self.toks):
+            return ["empty"]
+        if self.next("("):
+            inner = self.arguments(")")
+            return inner[0] if len(inner) == 1 else ["list", *inner]
+        if self.next("if"):
+            condition = self.binary()
+            self.next("?", "then")
+            yes = self.binary()
+            self.next("else")
+            return ["if", condition, yes, self.binary()]
+        t = self.toks[self.at]
+        self.at += 1
+        if t.kind == "number":
+            return ["number", float(t.text)]
+        if t.kind == "string":
+            return ["string", t.text]
+        if t.kind == "word" and t.text in ("true", "false", "null"):
+            return [t.text]
+        if t.is_name:
+            name = t.text
+            while self.at + 1 < len(self.toks) and self.toks[self.at].text in ("::", ".") and self.toks[self.at].kind == "op" and self.toks[self.at + 1].is_name:
+                name += self.toks[self.at].text + self.toks[self.at + 1].text
+                self.at += 2
+            return ["reference", name]
+        return ["token", t.text]
+
+
+def tree(toks: list[Token]) -> list:
+    """The expression as nested lists; what no rule reads stays as tokens behind it."""
+    parser = _Tree(toks)
+    out = parser.binary()
+    rest = [t.text for t in toks[parser.at :]]
+    return ["rest", out, *rest] if rest else out
+
+
 def _multiplicity(toks: list[Token]) -> dict:
     text = "".join(t.text for t in toks)
     low, _, high = text.partition("..")
@@ -324,6 +418,10 @@ def declaration(s: Statement, owner: Declaration | None = None) -> list[Declarat
     i = at
     while i < len(head):
         t = head[i]
+        if t.kind == "word" and t.text == "default" and slot not in EXPRESSIONS and i + 1 < len(head):  # before a value, with or without a sign
+            close()
+            slot, content, i = (slot if head[i + 1].text in ("=", ":=") else "value"), [], i + 1
+            continue
         marked = _marker(head, i) if t.kind != "quoted" else None
         if marked and not (slot in EXPRESSIONS and t.text in ("if", "of", ":")) and not (word == "bind" and t.text == "="):
             close()
@@ -348,7 +446,21 @@ def declaration(s: Statement, owner: Declaration | None = None) -> list[Declarat
 
 
 def members(body: list[Statement], owner: Declaration | None) -> list[Declaration]:
-    return [d for s in body for d in declaration(s, owner)]
+    out: list[Declaration] = []
+    for s in body:
+        if s.head and s.head[0].kind == "word" and s.head[0].text == "else":  # the other arm of the condition before
+            given = out[-1] if out and out[-1].kind == "if" else None
+            if given is None:
+                given = Declaration("succession", s.head[0].line, s.head[0].column)
+                out.append(given)
+            rest = s.head[1:]
+            if rest and rest[0].kind == "word" and rest[0].text == "then":
+                rest = rest[1:]
+            given.refs.extend(("otherwise" if given.kind == "if" else "then", c) for c in chains(rest))
+            given.children.extend(members(s.body or [], given))
+            continue
+        out.extend(declaration(s, owner))
+    return out
 
 
 def parse(text: str) -> list[Declaration]:
