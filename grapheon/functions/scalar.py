@@ -48,3 +48,36 @@ def lines(text: Column) -> Column:
 
 def comparable(name: Column) -> Column:
     return F.regexp_replace(F.lower(name), r"[^a-z0-9]", "")
+
+
+def attributes(m: Column) -> Column:
+    """The names that a map or row of attributes has, sorted."""
+    return F.sort_array(F.map_keys(m))
+
+
+def merge(first: Column, second: Column) -> Column:
+    """Both maps; where both have a name, the second's value stays."""
+    kept = F.map_filter(first, lambda k, _: ~F.map_contains_key(second, k))
+    return F.map_concat(kept, second)
+
+
+def append(a: Column, b: Column, unique: bool = False) -> Column:
+    """Arrays end to end; a null one is empty. unique: each value once."""
+    empty = F.array()
+    out = F.concat(F.coalesce(a, empty), F.coalesce(b, empty))
+    return F.array_distinct(out) if unique else out
+
+
+def same_collection(collection: str, identifier: Column) -> Column:
+    """Whether an identifier (`collection/key`) is of this collection."""
+    return F.substring_index(identifier, "/", 1) == F.lit(collection)
+
+
+def expanded(rows: Column, field: str) -> Column:
+    """The field of each row of an array."""
+    return F.transform(rows, lambda x: x.getField(field))
+
+
+def is_list(value: Column) -> Column:
+    """Whether an array is there at all; an empty one is."""
+    return value.isNotNull()

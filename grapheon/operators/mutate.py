@@ -29,8 +29,8 @@ def without_dangling(edges: DataFrame, elements: DataFrame, end: str = "src") ->
 def prune(inferred: DataFrame, stated: DataFrame, structural: list[str]) -> DataFrame:
     """Inferred edges without structural relations, reflexive ones, and twins of stated edges (either way round)."""
     kept = inferred.filter(~F.lower("label").isin([x.lower() for x in structural])).filter("src <> dst")
-    both = stated.select("src", "dst").unionByName(stated.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    return kept.join(both, ["src", "dst"], "left_anti")
+    ends = lambda df: df.withColumn("_a", F.least("src", "dst")).withColumn("_b", F.greatest("src", "dst"))  # noqa: E731  a twin either way round has the same two ends
+    return ends(kept).join(ends(stated.select("src", "dst")).select("_a", "_b"), ["_a", "_b"], "left_anti").drop("_a", "_b")
 
 
 def replace_type(edges: DataFrame, label: str, new: DataFrame) -> DataFrame:

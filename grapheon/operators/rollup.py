@@ -19,11 +19,11 @@ def by_unit(reached: DataFrame, elements: DataFrame, *by: str) -> DataFrame:
     return reached.join(numeric, "node").groupBy(*by, "unit").agg(exact_sum("num").alias("total"), F.count(F.lit(1)).alias("n"))
 
 
-def with_parts(reached: DataFrame, elements: DataFrame) -> DataFrame:
-    """unit, total and the parts that make it (name, value), largest first."""
+def with_parts(reached: DataFrame, elements: DataFrame, *by: str) -> DataFrame:
+    """unit, total and the parts that make it (value, name), largest first; apart for the columns `by`. A total's parts are one row: meant for totals that a reader looks through."""
     numeric = elements.filter("num is not null").select(F.col("key").alias("node"), "name", "unit", "num")
     rows = reached.join(numeric, "node")
-    return rows.groupBy("unit").agg(exact_sum("num").alias("total"), F.sort_array(F.collect_list(F.struct(F.col("num").alias("value"), "name")), asc=False).alias("parts"))
+    return rows.groupBy(*by, "unit").agg(exact_sum("num").alias("total"), F.sort_array(F.collect_list(F.struct(F.col("num").alias("value"), "name")), asc=False).alias("parts"))
 
 
 def formula_siblings(formulas: DataFrame, siblings: DataFrame) -> DataFrame:
@@ -58,3 +58,14 @@ def first_wins(edges: DataFrame, order: list[str]) -> DataFrame:
     rest = [c for c in edges.columns if c not in ("label", "src", "dst")]
     kept = edges.filter("src <> dst").groupBy("label", "src", "dst").agg(F.min(F.struct(*order, *[c for c in rest if c not in order])).alias("x"))
     return kept.select("label", "src", "dst", *[F.col(f"x.{c}").alias(c) for c in rest])
+
+
+def vocabulary_differences(edges: DataFrame, declared: DataFrame) -> DataFrame:
+    """label, fault: labels that are declared but not produced, and produced but not declared. declared: label."""
+    made = edges.select("label").distinct()
+    return declared.join(made, "label", "left_anti").select("label", F.lit("unproduced").alias("fault")).unionByName(made.join(declared, "label", "left_anti").select("label", F.lit("undeclared").alias("fault")))
+
+
+def largest(rows: DataFrame, by: str) -> DataFrame:
+    """by, n: the group with the most rows, ties to the smaller name."""
+    return rows.groupBy(by).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), by).limit(1)

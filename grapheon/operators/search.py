@@ -36,8 +36,9 @@ def postings(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 def bm25(docs: DataFrame, words: Sequence[str], k: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The k best documents for a few query words. The words' counts are taken in the scan; nothing else of the index is built."""
     words = sorted({w.lower() for w in words})
-    terms = F.filter(F.split(F.lower(text), r"[^a-z0-9]+"), lambda t: t != "")
-    counts = docs.select(key, F.size(terms).alias("length"), *((F.size(terms) - F.size(F.array_remove(terms, w))).alias(f"tf{i}") for i, w in enumerate(words)))
+    split = docs.select(key, F.filter(F.split(F.lower(text), r"[^a-z0-9]+"), lambda t: t != "").alias("_terms"))  # once for all words
+    terms = F.col("_terms")
+    counts = split.select(key, F.size(terms).alias("length"), *((F.size(terms) - F.size(F.array_remove(terms, w))).alias(f"tf{i}") for i, w in enumerate(words)))
     stats = counts.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), *(F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(words))))
     joined = counts.crossJoin(F.broadcast(stats))  # one row of statistics
     score = F.lit(0.0)
@@ -48,6 +49,15 @@ def bm25(docs: DataFrame, words: Sequence[str], k: int, key: str = "doc_id", tex
     return joined.select(key, score.alias("score")).filter("score > 0").orderBy(F.desc("score"), key).limit(k)
 
 
+def bm25_postings(index: DataFrame, words: Sequence[str], k: int, documents: int, mean: float, key: str = "doc_id") -> DataFrame:
+    """The same from the inverted index (of `postings`): only the words' rows are read. documents, mean: how many there are, and their mean length."""
+    rows = index.filter(F.col("term").isin(sorted({w.lower() for w in words})))
+    df = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))  # a row a word
+    idf = F.log(1 + (F.lit(documents) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    score = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean)))
+    return rows.join(F.broadcast(df), "term").groupBy(key).agg(F.sum(score).alias("score")).orderBy(F.desc("score"), key).limit(k)
+
+
 def fuse(rankings: Sequence[DataFrame], k: int, key: str = "doc_id") -> DataFrame:
     """Reciprocal-rank fusion of short rankings (key, score)."""
     ranks = None
@@ -118,4 +128,5 @@ def clusters(nodes: DataFrame, edges: DataFrame, rounds: int = 10) -> DataFrame:
                 break
         return pd.DataFrame({"module": key[0], "node": list(label), "cluster": list(label.values())})
 
+    edges = edges.select(*(F.col(c).alias(c) for c in ("module", "a", "b", "weight")))  # columns of their own, not those of nodes
     return nodes.groupBy("module").cogroup(edges.groupBy("module")).applyInPandas(run, "module string, node string, cluster string")

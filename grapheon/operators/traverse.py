@@ -26,7 +26,7 @@ def walk(roots: DataFrame, edges: DataFrame, most: int = 8, least: int = 0, dire
     roots: column root. All roots walk in one job: the frontier is keyed by (root, node), so its growth is spread by both. Each level is
     one join with the edges and one anti-join with what is visited; a checkpoint ends it, and an empty frontier ends the walk.
     """
-    steps = directed(edges, direction).distinct().withColumnRenamed("src", "node")
+    steps = cut(directed(edges, direction).distinct().withColumnRenamed("src", "node"))  # once, not at each level
     seen = frontier = roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct()
     for depth in range(1, most + 1):
         reached = frontier.select("root", "node").join(steps, "node").select("root", F.col("dst").alias("node")).distinct()
@@ -37,6 +37,17 @@ def walk(roots: DataFrame, edges: DataFrame, most: int = 8, least: int = 0, dire
     return seen.filter(F.col("depth") >= least)
 
 
+def within(edges: DataFrame, collection: str) -> DataFrame:
+    """Edges that lead to elements of one collection (keys `collection/...`): a walk over them stays in it."""
+    return edges.filter(F.substring_index("dst", "/", 1) == collection)
+
+
+def successors(states: DataFrame, edges: DataFrame, label: str = "transitionsTo") -> DataFrame:
+    """key, dst, trigger, guard: one step of a state machine from each state (key), with what sets it off."""
+    step = edges.filter(F.col("label") == label).select(F.col("src").alias("key"), "dst", "trigger", "guard")
+    return states.select("key").join(step, "key")
+
+
 def subtree_sizes(roots: DataFrame, edges: DataFrame, most: int = 8) -> DataFrame:
     """root, size: nodes below each root, the root left out."""
     return walk(roots, edges, most, 1).groupBy("root").agg(F.count("*").alias("size"))
@@ -48,7 +59,7 @@ def path_totals(roots: DataFrame, edges: DataFrame, values: DataFrame, most: int
     Paths that meet at a node are summed there level by level, so a level has a row for each (root, node), not for each path.
     edges: src, dst, multiplicity; values: node, value.
     """
-    steps = edges.select(F.col("src").alias("node"), "dst", F.coalesce(F.col("multiplicity").cast("double"), F.lit(1.0)).alias("m"))
+    steps = cut(edges.select(F.col("src").alias("node"), "dst", F.coalesce(F.col("multiplicity").cast("double"), F.lit(1.0)).alias("m")))
     level = roots.select("root", F.col("root").alias("node"), F.lit(1.0).alias("times"))
     total = level
     for _ in range(most):

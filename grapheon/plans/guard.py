@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 WRITES = re.compile(r"\b(insert|update|delete|merge|drop|create|alter|truncate|replace|load|refresh|cache|uncache|set|reset|use|grant|revoke|analyze|msck|repair|call|execute)\b", re.I)
 #: Plan nodes that a read-only statement may hold.
-COMMAND = re.compile(r"Insert|Create|Drop|Alter|Delete|Update|Merge|Truncate|Command|Set(?:Catalog|Namespace|Table)|Load|Refresh|Cache|Analyze|Repair|Overwrite|Append(?:Data)?$|ReplaceTable|Call")
+COMMAND = re.compile(r"Insert|Create|Drop|Alter|Delete|Update|Merge|Truncate|Command|Set(?:Catalog|Namespace|Table)|Load|Refresh|Cache|Analyze|Repair|Overwrite|Append(?:Data)?$|ReplaceTable|Rename|Call")
 
 
 def writes(spark: SparkSession, sql: str) -> str | None:

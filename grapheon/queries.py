@@ -2,59 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grapheon.functions import scalar
 from grapheon.notation import model as notation
 from grapheon.operators import mutate, names, rollup, search, traverse
-from grapheon.plans.graph import COMPOSITION, Graph, table_graph
+from grapheon.plans.graph import COMPOSITION, Graph
+from grapheon.registry import BM25_SQL, ORACLE_SQL, QUERIES, TOTAL, _graph, _read, query  # noqa: F401  the dicts are read from here
 from grapheon.streaming.transitions import transitions
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-ELEMENTS = """elements AS (
-  SELECT 'region/' || r_regionkey AS key, 'package' AS kind, r_name AS name, CAST(NULL AS VARCHAR) AS owner, 0 AS depth, CAST(NULL AS VARCHAR) AS attribute, CAST(NULL AS DOUBLE) AS num, CAST(NULL AS VARCHAR) AS unit FROM region
-  UNION ALL SELECT 'nation/' || n_nationkey, 'package', n_name, 'region/' || n_regionkey, 1, NULL, NULL, NULL FROM nation
-  UNION ALL SELECT 'customer/' || c_custkey, 'part', c_name, 'nation/' || c_nationkey, 2, 'acctbal', c_acctbal, 'usd' FROM customer
-  UNION ALL SELECT 'supplier/' || s_suppkey, 'part', s_name, 'nation/' || s_nationkey, 2, 'acctbal', s_acctbal, 'usd' FROM supplier
-  UNION ALL SELECT 'part/' || p_partkey, 'part_definition', p_name, NULL, 0, 'retailprice', p_retailprice, 'eur' FROM part
-  UNION ALL SELECT 'order/' || o_orderkey, 'requirement', 'Order/' || o_orderkey, 'customer/' || o_custkey, 3, 'totalprice', o_totalprice, 'chf' FROM orders
-), edges AS (
-  SELECT owner AS src, key AS dst, 'owns' AS label FROM elements WHERE owner IS NOT NULL
-  UNION ALL SELECT DISTINCT 'order/' || l_orderkey, 'part/' || l_partkey, 'typedBy' FROM lineitem
-  UNION ALL SELECT DISTINCT 'supplier/' || l_suppkey, 'order/' || l_orderkey, 'satisfies' FROM lineitem
-)"""
-
-
-def query(sql: str | None, prelude: bool = True):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql.replace("{graph}", ELEMENTS) if prelude else sql
-        return f
-
-    return add
-
-
-def _graph(spark: SparkSession, sf_dir: str) -> Graph:
-    return table_graph(spark, sf_dir)
-
-
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
 
 def _roots(g: Graph, kind: str = "region/") -> DataFrame:
     return g.elements.filter(F.col("key").startswith(kind)).select(F.col("key").alias("root"))
 
 
-TOTAL = "COALESCE(CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE), 0)"
-
-
 @query("WITH RECURSIVE {graph}, walk AS (SELECT 'region/1' AS node UNION SELECT e.dst FROM walk w JOIN edges e ON e.src = w.node AND e.label IN ('owns', 'typedBy'))"
        " SELECT unit, " + TOTAL.format(c="num") + " AS total, COUNT(*) AS n FROM walk JOIN elements ON key = node WHERE num IS NOT NULL GROUP BY unit")
 def composition_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,13 +252,6 @@ def cosine_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.cosine_top(rows.filter("vec_id <> 0"), first[0] if first else [0.0], 10).select("vec_id", F.round("score", 6).alias("score"))
 
 
-BM25_SQL = """WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM documents),
- c AS (SELECT doc_id, len(w) AS l, len(list_filter(w, lambda x: x = 'the')) AS tf0, len(list_filter(w, lambda x: x = 'thing')) AS tf1 FROM t),
- s AS (SELECT COUNT(*) AS n, AVG(l) AS m, COUNT(*) FILTER (tf0 > 0) AS df0, COUNT(*) FILTER (tf1 > 0) AS df1 FROM c),
- r AS (SELECT doc_id, ln(1 + (n - df0 + 0.5) / (df0 + 0.5)) * tf0 * 2.2 / (tf0 + 1.2 * (0.25 + 0.75 * l / m)) + ln(1 + (n - df1 + 0.5) / (df1 + 0.5)) * tf1 * 2.2 / (tf1 + 1.2 * (0.25 + 0.75 * l / m)) AS score FROM c, s)
- """
-
-
 @query(BM25_SQL + "SELECT doc_id, round(score, 6) AS score FROM r WHERE score > 0 ORDER BY r.score DESC, doc_id LIMIT 10", False)
 def bm25_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.bm25(_read(spark, sf_dir, "documents"), ["the", "thing"], 10).select("doc_id", F.round("score", 6).alias("score"))
@@ -312,18 +267,19 @@ def rank_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH r AS (SELECT vec_id AS key, vec_id % 2 AS model, label AS role, CAST(embedding AS DOUBLE[]) AS x FROM embeddings), m AS (SELECT model FROM r GROUP BY model ORDER BY COUNT(*) DESC, model LIMIT 1),
  p AS (SELECT a.key AS src, b.key AS dst, list_cosine_similarity(a.x, b.x) AS score FROM r a JOIN r b ON a.role = b.role AND a.model <> b.model WHERE a.model NOT IN (SELECT model FROM m)),
- k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY src ORDER BY score DESC, dst) AS n FROM p WHERE score >= 0.55)
+ k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY src ORDER BY score DESC, dst) AS n FROM p WHERE score >= 0.3)
  SELECT least(src, dst) AS src, greatest(src, dst) AS dst, round(MAX(score), 6) AS score FROM k WHERE n <= 5 GROUP BY 1, 2""", False)
 def analogy_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A floor that these tables' vectors reach; the operator's own is 0.55."""
     rows = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("key"), (F.col("vec_id") % 2).alias("model"), F.col("label").alias("role"), "embedding")
-    return search.reciprocal_once(search.analogies(rows, 0.55, 5)).select("src", "dst", F.round("score", 6).alias("score"))
+    return search.reciprocal_once(search.analogies(rows, 0.3, 5)).select("src", "dst", F.round("score", 6).alias("score"))
 
 
 @query(None)
 def analogy_matching(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy, so without SQL; tested against a plain loop."""
+    """Greedy, so without SQL; tested against a plain loop. The floor is one that these vectors reach."""
     rows = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("key"), (F.col("vec_id") % 2).alias("model"), F.col("label").alias("role"), "embedding")
-    return search.greedy(search.analogies(rows, 0.55)).select("src", "dst", F.round("score", 6).alias("score"))
+    return search.greedy(search.analogies(rows, 0.3)).select("src", "dst", F.round("score", 6).alias("score"))
 
 
 @query("WITH x AS (SELECT c_nationkey AS node, c_mktsegment AS value FROM customer) SELECT node, string_agg(DISTINCT value, ',' ORDER BY value) AS files FROM x GROUP BY node", False)
@@ -385,4 +341,4 @@ def notation_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("owner", F.col("attributes")["code"]["num"].alias("num"), F.col("attributes")["code"]["unit"].alias("unit"))
 
 
-from grapheon import queries_notation, queries_survey  # noqa: E402, F401  they register their queries here
+from grapheon import queries_more, queries_notation, queries_survey  # noqa: E402, F401  they register their queries here

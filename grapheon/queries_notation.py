@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grapheon.notation import model as notation
-from grapheon.queries import _read, query
+from grapheon.registry import _read, query
 
 VOCABULARY = """package Plant {
     private import Units::*;

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from grapheon.functions.scalar import lines
 from grapheon.plans import survey
-from grapheon.queries import _read, query
+from grapheon.registry import _read, query
 from grapheon.streaming.transitions import transitions
 
 LABELS = ("owns", "typedBy", "satisfies", "verifies", "transitionsTo", "connectedTo", "subsets", "redefines", "specializes")
