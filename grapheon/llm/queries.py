@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grapheon.llm import ann, jaccard, packing, pieces, quality, secrets, substrings, topk, toxicity, urls
+from grapheon.llm import ann, jaccard, oracles, packing, pieces, quality, secrets, substrings, topk, toxicity, urls
 from grapheon.llm.common import table
 
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
@@ -89,4 +89,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_urls": op9_urls,
     "op10_packing": op10_packing,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = dict(oracles.SQL)
