@@ -35,4 +35,55 @@ REPEATS = """WITH b AS (SELECT doc_id, encode(COALESCE(text, '')) AS t FROM docu
  SELECT b.doc_id, CAST(octet_length(t) AS BIGINT) AS n_bytes, CAST(COALESCE(removed, 0) AS BIGINT) AS n_removed, CAST(COALESCE(spans, 0) AS BIGINT) AS n_spans, sha256(unhex(kept)) AS kept_sha256
  FROM b JOIN p USING (doc_id) LEFT JOIN c USING (doc_id)"""
 
-SQL = {"op3_repeats": REPEATS, "op6_jaccard": JACCARD, "op7_topk": TOPK, "op8_neighbours": NEIGHBOURS}
+
+#: Private characters around a match: texts hold none.
+OPEN, SHUT = "chr(57344)", "chr(57345)"
+
+
+def _matches(source: str, text: str, pattern: str) -> str:
+    """doc_id, pos (code points before it), m: the leftmost non-overlapping matches of a pattern, by marking them and splitting at the marks. source: doc_id, pos of the text."""
+    quoted = pattern.replace("'", "''")
+    return f"""SELECT doc_id, pos + CAST(COALESCE(SUM(length(part) - 1) OVER (PARTITION BY doc_id, pos ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) + CASE WHEN nth > 1 THEN 1 ELSE 0 END AS pos, string_split(part, {SHUT})[1] AS m, nth
+ FROM (SELECT doc_id, pos, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS nth FROM (SELECT doc_id, pos, string_split(regexp_replace({text}, '({quoted})', {OPEN} || '\\1' || {SHUT}, 'g'), {OPEN}) AS parts FROM {source})) QUALIFY nth > 1"""
+
+
+ASSIGN = r"""(?i:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
+VALUE = r"""(?i:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ALLOWED = (
+    r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
+    r"[^0-9]*",
+    r"[0-9+/=_-]*",
+    r"(?i:.*(?:abcdefghij|0123456789|example|placeholder|xxxxxxxx).*)",
+    r"(?:[A-Za-z]+[/_-])+[A-Za-z]*[0-9]{0,4}",
+    r"/?(?:[A-Za-z0-9_-]{1,16}/)+[A-Za-z0-9_=-]{0,16}",
+)
+
+
+def _refused(c: str) -> str:
+    return "NOT (" + " OR ".join(f"regexp_full_match({c}, '{p}')" for p in ALLOWED) + ")"
+
+
+def _windows(kind: int, source: str, width: int, least: float) -> str:
+    """Spans of the pieces that windows of so much entropy cover."""
+    most = f"(log2({width}) - {least}) * {width} + 1e-9"
+    entropy = f"list_sum(list_transform(list_distinct(string_split(s, '')), lambda c: ({width} - length(replace(s, c, ''))) * log2({width} - length(replace(s, c, '')))))"
+    return f"""SELECT doc_id, MIN(a) AS a, {kind} AS kind, MAX(a) + {width} AS z FROM (SELECT *, SUM(fresh) OVER (PARTITION BY doc_id, pos ORDER BY a) AS run
+ FROM (SELECT *, CASE WHEN a > lag(a) OVER (PARTITION BY doc_id, pos ORDER BY a) + {width} THEN 1 ELSE 0 END AS fresh
+ FROM (SELECT doc_id, pos, pos + i - 1 AS a, substr(m, CAST(i AS BIGINT), {width}) AS s FROM (SELECT doc_id, pos, m, unnest(range(1, length(m) - {width} + 2)) AS i FROM {source})) WHERE {entropy} <= {most})) GROUP BY doc_id, pos, run"""
+
+
+SECRETS = f"""WITH d AS (SELECT doc_id, COALESCE(text, '') AS text, CAST(0 AS BIGINT) AS pos FROM documents),
+ b0 AS ({_matches('d', 'text', ASSIGN)}), b1 AS ({_matches('d', 'text', 'AKIA[A-Z0-9]+')}), b2 AS ({_matches('d', 'text', '[0-9a-f]+')}),
+ base AS (SELECT doc_id, pos AS a, 0 AS kind, pos + length(m) AS z FROM b0 WHERE length(regexp_extract(m, '{VALUE.replace("'", "''")}', 1)) >= 6
+  UNION ALL SELECT doc_id, pos, 1, pos + length(m) FROM b1 WHERE length(m) >= 20 UNION ALL SELECT doc_id, pos, 2, pos + length(m) FROM b2 WHERE length(m) >= 24),
+ cand AS (SELECT doc_id, pos, m FROM ({_matches('d', 'text', '[A-Za-z0-9+/=_-]+')}) WHERE length(m) >= 20 AND {_refused('m')}),
+ hexes AS (SELECT doc_id, pos, m FROM ({_matches('cand', 'm', '[0-9a-fA-F]+')}) WHERE length(m) >= 20),
+ wide AS (SELECT * FROM cand WHERE length(m) >= 24),
+ found AS ({_windows(3, 'hexes', 20, 2.9)} UNION ALL {_windows(4, 'wide', 24, 3.9)}),
+ more AS (SELECT f.doc_id, f.a, f.kind, f.z FROM found f JOIN d USING (doc_id) WHERE {_refused('substr(d.text, f.a + 1, f.z - f.a)')}),
+ named AS (SELECT doc_id, a, kind, z, list_extract(['assign', 'access', 'hex', 'entropy_hex', 'entropy_base64'], kind + 1) || ':' || a || ':' || z AS span FROM (SELECT * FROM base UNION ALL SELECT * FROM more)),
+ g AS (SELECT doc_id, COUNT(*) FILTER (kind = 0) AS n0, COUNT(*) FILTER (kind = 1) AS n1, COUNT(*) FILTER (kind = 2) AS n2, COUNT(*) FILTER (kind > 2) AS n3,
+  COALESCE(string_agg(span, ',' ORDER BY a, kind, z) FILTER (kind < 3), '') AS base, string_agg(span, ',' ORDER BY a, kind, z) AS spans FROM named GROUP BY doc_id)
+ SELECT doc_id, COALESCE(n0, 0) AS n_assign, COALESCE(n1, 0) AS n_access, COALESCE(n2, 0) AS n_hex, COALESCE(n3, 0) AS n_entropy, sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)"""
+
+SQL = {"op1_secrets": SECRETS, "op3_repeats": REPEATS, "op6_jaccard": JACCARD, "op7_topk": TOPK, "op8_neighbours": NEIGHBOURS}
