@@ -86,4 +86,41 @@ SECRETS = f"""WITH d AS (SELECT doc_id, COALESCE(text, '') AS text, CAST(0 AS BI
   COALESCE(string_agg(span, ',' ORDER BY a, kind, z) FILTER (kind < 3), '') AS base, string_agg(span, ',' ORDER BY a, kind, z) AS spans FROM named GROUP BY doc_id)
  SELECT doc_id, COALESCE(n0, 0) AS n_assign, COALESCE(n1, 0) AS n_access, COALESCE(n2, 0) AS n_hex, COALESCE(n3, 0) AS n_entropy, sha256(COALESCE(base, '')) AS base_sha256, COALESCE(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)"""
 
+
+def urls(rules: list[tuple[str, str]], levels: int = 8, weight: float = 8.0, z: float = 2.0, steps: int = 100, least: float = 0.5) -> str:
+    """The path-template tree for paths of at most so many segments with labels below, level by level."""
+    fits = []
+    for rule, _ in sorted(rules, key=lambda r: (-len(r[0]), r[0])):
+        host, _, path = rule.partition("/")
+        fits.append(f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}') THEN '{rule}'")
+    general = r"""CASE WHEN regexp_matches(s, '^[0-9]+$') THEN '{n}' WHEN regexp_matches(s, '^[0-9]+\.[A-Za-z]+$') THEN '{n}.' || regexp_extract(s, '\.([A-Za-z]+)$', 1)
+ WHEN regexp_matches(s, '^[0-9a-fA-F]{8}[0-9a-fA-F-]*$') THEN '{h}' WHEN regexp_matches(s, '[0-9]') OR length(s) > 32 THEN '{s}' ELSE s END"""
+    ruled = " ".join(f"WHEN rule = '{r}' THEN '{v}'" for r, v in rules)
+    purity = f"(SUM(good) + {weight} * above) / (SUM(labelled) + {weight})"
+    out = f"""WITH a AS (SELECT page_id, COALESCE(url, '') AS url FROM pages), r AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM a),
+ h AS (SELECT page_id, rest, regexp_extract(rest, '^([^/?#]*)', 1) AS raw FROM r), u0 AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^([^?#]*)', 1) AS path FROM h),
+ u1 AS (SELECT *, CASE {' '.join(fits)} END AS rule, list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: {general}) AS segments FROM u0),
+ u AS (SELECT *, CASE {ruled} END AS ruled, CASE CASE {ruled} END WHEN 'allow' THEN 1.0 WHEN 'block' THEN 0.0 END AS allowed, host || '/' || array_to_string(segments, '/') AS leaf FROM u1),
+ l AS (SELECT leaf, any_value(host) AS node, any_value(segments) AS segments, COUNT(allowed) AS labelled, CAST(SUM(COALESCE(allowed, 0.0)) AS DOUBLE) AS good FROM u GROUP BY leaf),
+ e AS (SELECT (COALESCE(SUM(good), 0.0) + {weight} * 0.5) / (COALESCE(SUM(labelled), 0) + {weight}) AS above FROM l),
+ w AS (SELECT COALESCE(segments[1], '') AS segment, {purity} AS elsewhere FROM l, e GROUP BY 1, above),
+ t AS (SELECT node, {purity} AS purity FROM l, e GROUP BY node, above),
+ n0 AS (SELECT l.*, t.purity, false AS over_ FROM l JOIN t USING (node))"""
+    for d in range(levels):
+        above = "CASE WHEN b.labelled = 0 THEN elsewhere ELSE b.above END" if d == 0 else "b.above"
+        blank = "node || '/' || segment" if d == 0 else "node || '/*'"
+        test = f"pow(good / labelled - g1 / n1, 2) > {z} * {z} * ((g1 + good) / (n1 + labelled)) * (1 - (g1 + good) / (n1 + labelled)) * (1 / n1 + 1 / labelled)"
+        out += f""",
+ b{d} AS (SELECT b.node, b.segment, b.labelled, b.good, {above} AS above, CASE WHEN b.labelled > 0 THEN floor(b.good * {steps} / b.labelled) END AS share FROM (SELECT node, segments[{d + 1}] AS segment, SUM(labelled) AS labelled, SUM(good) AS good, any_value(purity) AS above FROM n{d} WHERE len(segments) > {d} AND NOT over_ GROUP BY 1, 2) b JOIN w ON {'w.segment = b.segment' if d == 0 else 'w.segment = (SELECT MIN(segment) FROM w)'}),
+ s{d} AS (SELECT node, share, SUM(labelled) AS labelled, SUM(good) AS good, COUNT(*) AS members, any_value(above) AS above FROM b{d} WHERE labelled > 0 GROUP BY 1, 2),
+ g{d} AS (SELECT *, SUM(apart) OVER (PARTITION BY node ORDER BY share) AS part FROM (SELECT *, CASE WHEN n1 IS NOT NULL AND {test} THEN 1 ELSE 0 END AS apart FROM (SELECT *, lag(labelled) OVER (PARTITION BY node ORDER BY share) AS n1, lag(good) OVER (PARTITION BY node ORDER BY share) AS g1 FROM s{d}))),
+ m{d} AS (SELECT node, part, {purity} AS purity, SUM(members) AS members FROM g{d} GROUP BY node, part, above),
+ x{d} AS (SELECT b.node, b.segment, CASE WHEN b.labelled = 0 THEN {blank.replace('node', 'b.node').replace('segment', 'b.segment')} WHEN m.members = 1 THEN b.node || '/' || b.segment ELSE b.node || '/*' || CAST(m.part AS BIGINT) END AS target, CASE WHEN b.labelled = 0 THEN b.above ELSE m.purity END AS purity, b.labelled = 0 AS over_
+  FROM b{d} b LEFT JOIN g{d} g ON g.node = b.node AND g.share = b.share LEFT JOIN m{d} m ON m.node = g.node AND m.part = g.part),
+ n{d + 1} AS (SELECT n.leaf, x.target AS node, n.segments, n.labelled, n.good, x.purity, x.over_ FROM n{d} n JOIN x{d} x ON x.node = n.node AND x.segment = n.segments[{d + 1}] WHERE len(n.segments) > {d} AND NOT n.over_)"""
+    ends = " UNION ALL ".join(f"SELECT leaf, node || '/' AS template, purity FROM n{d} WHERE len(segments) = {d} OR over_" for d in range(levels + 1))
+    return out + f""", k AS ({ends})
+ SELECT page_id, host, path, rule, COALESCE(ruled, CASE WHEN purity < {least} THEN 'block' ELSE 'allow' END) AS verdict, template, purity FROM u JOIN k USING (leaf)"""
+
+
 SQL = {"op1_secrets": SECRETS, "op3_repeats": REPEATS, "op6_jaccard": JACCARD, "op7_topk": TOPK, "op8_neighbours": NEIGHBOURS}

@@ -3,8 +3,9 @@
 Labellers vote good (1), bad (0) or nothing (2) on each document. Votes of all documents are counted by pattern; there are 3 ** 7 patterns
 at most, so the counts fit on the driver whatever the corpus. Expectation-maximisation over these counts estimates how often good documents are
 and, for each labeller, how it votes on good and on bad documents; labellers are taken as independent given the class. Posteriors
-of patterns are the labels of a bounded sample (`most` documents, those with the least hash of their id), on which a linear scorer is trained
-with hashed features: words and word shapes, averaged over the document. It scores all documents.
+of patterns are the labels of a bounded sample (`most` documents of at most `longest` characters, those with the least hash of their id), on which a linear scorer is trained
+with hashed features: words and word shapes, averaged over the document, and what each labeller saw (its vote). It scores all documents. Texts of the same words and
+votes have the same score; a tie with the threshold is kept. A text is taken whole, with a few numbers a word.
 
 Nulls: a null text is an empty text; a text without words scores 0 and isn't kept; a null doc_id stays null. Repeated rows are scored each. With a
 corpus that no labeller splits, all posteriors are one class's. Columns other than doc_id and text are ignored. An empty table gives an empty result.
@@ -63,6 +64,17 @@ def pattern(text: str) -> int:
     return code
 
 
+def accuracies(counts: dict[int, int], post: dict[int, float], labellers: int = 7) -> list[dict[str, float]]:
+    """Of each labeller the share of its votes that the posteriors take for right, on good and on bad documents, and how often it votes."""
+    out = []
+    for k in range(labellers):
+        vote = {c: c // 3 ** (labellers - 1 - k) % 3 for c in counts}
+        mass = lambda v, good, vote=vote: sum(n * (post[c] if good else 1 - post[c]) for c, n in counts.items() if vote[c] in v)
+        good, bad = mass((GOOD, BAD), True), mass((GOOD, BAD), False)
+        out.append({"on_good": mass((GOOD,), True) / good if good else 0.0, "on_bad": mass((BAD,), False) / bad if bad else 0.0, "votes": (good + bad) / max(1, sum(counts.values()))})
+    return out
+
+
 def label_model(counts: dict[int, int], labellers: int = 7, rounds: int = 100) -> dict[int, float]:
     """Posterior of good for each pattern that occurs, from the counts of patterns."""
     if not counts:
@@ -96,7 +108,13 @@ def features(word: str) -> tuple[int, int]:
     """Hashed word and shape (letters to a or A, digits to 0)."""
     shape = SHAPE[1].sub("0", SHAPE[0].sub(lambda m: "A" if m.group().isupper() else "Aa" if m.group()[0].isupper() else "a", word))
     mask = (1 << BITS) - 1
-    return zlib.crc32(("w" + word.lower()[:24]).encode("utf-8", "replace")) & mask, zlib.crc32(("s" + shape[:24]).encode("utf-8", "replace")) & mask
+    return zlib.crc32(("w" + word.lower()).encode("utf-8", "replace")) & mask, zlib.crc32(("s" + shape).encode("utf-8", "replace")) & mask
+
+
+def vote_features(code: int, labellers: int = 7) -> list[int]:
+    """Hashed votes of a pattern."""
+    mask = (1 << BITS) - 1
+    return [zlib.crc32(f"v{k}={code // 3 ** (labellers - 1 - k) % 3}".encode()) & mask for k in range(labellers)]
 
 
 def train(texts: list[str], labels: np.ndarray, rounds: int = 120, rate: float = 0.3, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -109,14 +127,15 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = 120, rate: float =
     if not len(ids):
         return weights, bias
     f = np.array([features(w) for w in vocabulary])
+    seen = np.array([vote_features(pattern(t)) for t in texts])
     doc = np.repeat(np.arange(len(texts)), sizes)
     per = 1.0 / np.maximum(sizes, 1)
     m1, m2, b1, b2 = np.zeros(1 << BITS), np.zeros(1 << BITS), 0.0, 0.0
     for t in range(1, rounds + 1):
-        z = np.bincount(doc, weights[f].sum(axis=1)[ids], len(texts)) * per + bias
+        z = np.bincount(doc, weights[f].sum(axis=1)[ids], len(texts)) * per + weights[seen].sum(axis=1) + bias
         error = (labels - 1 / (1 + np.exp(-np.clip(z, -30, 30)))) / len(texts)
         g = np.bincount(ids, (error * per)[doc], len(vocabulary))
-        grad = np.bincount(f.ravel(), np.repeat(g, 2), 1 << BITS) - ridge * weights / len(texts)
+        grad = np.bincount(f.ravel(), np.repeat(g, 2), 1 << BITS) + np.bincount(seen.ravel(), np.repeat(error, seen.shape[1]), 1 << BITS) - ridge * weights / len(texts)
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad**2
         weights += rate * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-6)
         b1, b2 = 0.9 * b1 + 0.1 * error.sum(), 0.99 * b2 + 0.01 * error.sum() ** 2
@@ -162,15 +181,18 @@ def quality_scores(docs: DataFrame, most: int = 3000, longest: int = 20_000, thr
     weights, bias = train(texts, np.array([post.get(pattern(t), 0.5) for t in texts]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = WordWeights(weights)
+        held, voted = WordWeights(weights), {}
         for part in slices(batches):
             texts = [t or "" for t in part.column(1).to_pylist()]
             words = [t.split() for t in texts]
             sizes = np.array([len(w) for w in words])
             each = np.fromiter(map(held.__getitem__, chain.from_iterable(words)), np.float64)
-            z = np.bincount(np.repeat(np.arange(len(texts)), sizes), each, len(texts)) / np.maximum(sizes, 1) + bias
+            codes = [pattern(t) for t in texts]
+            for code in set(codes).difference(voted):
+                voted[code] = float(weights[vote_features(code)].sum())
+            z = np.bincount(np.repeat(np.arange(len(texts)), sizes), each, len(texts)) / np.maximum(sizes, 1) + np.array([voted[c] for c in codes]) + bias
             score = np.where(sizes > 0, 1 / (1 + np.exp(-np.clip(z, -50, 50))), 0.0)
-            weak = [post.get(pattern(t), 0.5) for t in texts]
+            weak = [post.get(c, 0.5) for c in codes]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(weak, pa.float64()), pa.array(score), pa.array(score >= threshold)], names=["doc_id", "weak_label", "score", "keep"])
 
     return rows.mapInArrow(run, SCORES)

@@ -89,4 +89,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_urls": op9_urls,
     "op10_packing": op10_packing,
 }
-ORACLE_SQL: dict[str, str] = dict(oracles.SQL)
+ORACLE_SQL: dict[str, str] = oracles.SQL | {"op9_urls": oracles.urls(URL_RULES)}

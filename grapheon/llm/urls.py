@@ -1,28 +1,28 @@
 """URL filter: fixed rules, and a path-template tree for the urls that no rule fits.
 
-Each path becomes a template: segments that vary (numbers, hex ids, dates, segments with digits, long slugs) turn
-to wildcards. Templates of a host form a tree with a node for every prefix, its root the host itself, and above
-the roots one node for all hosts' templates with the same first segment, and one for everything. A node counts urls and labelled urls;
-labels are the rules' own verdicts, and a labels frame if given. A node's purity is the share of allowed
-labels, smoothed toward its parent's purity. Sibling branches whose shares don't differ from their parent's by a
-two-proportion test (`z`), or of which there are more than `fan_out`, merge into the parent's wildcard branch. A url is
-judged by its deepest unmerged node; if that node's purity is under `least`, its template is rejected.
+Each path becomes a template: segments that vary (numbers, hex ids, segments with digits, long slugs) turn
+to wildcards. Templates of a host form a tree, which is built and merged from the host down, one level of segments at a time. A node counts
+labelled urls; labels are the rules' own verdicts, and a labels frame if given. A branch's purity is the share of allowed
+labels, smoothed toward its parent's purity (a host's toward that of all urls). The branches of a node are ordered by their shares (in steps of 1 / `steps`), and
+neighbours whose shares don't differ by a two-proportion test (`z`) merge: from there on they are one node, and their branches of one name are one branch. Branches
+without labels merge to one that takes the parent's purity and has none below it; right below a host, that of the same segment on all hosts. A url is judged by the node that its
+segments lead to; if that node's purity is under `least`, its template is rejected.
 
 All counts are sums of pre-aggregated rows (one for each host and template of a task), so a host with a third of all urls costs
-no more than any other. Only expressions and joins on host and template are used.
+no more than any other; a node's branches are ordered as at most steps + 1 rows, however many there are. Joins split keys that many rows share. There are as many levels as the longest path with labels below has segments.
 
-Nulls: a null url, or one without "://", has an empty host and path; it is judged like any other. Repeated rows are judged each.
-An empty table gives an empty result. Columns other than page_id and url are ignored.
+Nulls: a null url, or one without "://", has an empty host and path; it is judged like any other. Repeated rows are judged each, and the same: a tie of a share with the
+threshold is allowed. Long urls are taken whole. An empty table gives an empty result. Columns other than page_id and url are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from grapheon.llm.common import cut, spread_join
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Segments of a path that the tree looks at; deeper ones make one wildcard.
-DEPTH = 4
 
 
 def split_url(df: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def rule_column(rules: list[tuple[str, str]]) -> Column:
 
 
 def template_column() -> Column:
-    """The generalised segments of path, DEPTH of them at most."""
+    """The generalised segments of path."""
     segments = F.filter(F.split("path", "/", -1), lambda s: s != "")
 
     def general(s: Column) -> Column:
@@ -57,10 +57,10 @@ def template_column() -> Column:
             .otherwise(s)
         )
 
-    return F.transform(F.slice(segments, 1, DEPTH), general)
+    return F.transform(segments, general)
 
 
-def judge(df: DataFrame, rules: list[tuple[str, str]], labels: DataFrame | None = None, weight: float = 8.0, z: float = 2.0, fan_out: int = 64, least: float = 0.5) -> DataFrame:
+def judge(df: DataFrame, rules: list[tuple[str, str]], labels: DataFrame | None = None, weight: float = 8.0, z: float = 2.0, steps: int = 100, least: float = 0.5) -> DataFrame:
     """page_id, host, path, rule, verdict, template, purity of each row of df.
 
     rules: (rule, verdict); labels: page_id and allowed (boolean), further labelled urls; weight: how many labels a parent's purity counts.
@@ -75,45 +75,44 @@ def judge(df: DataFrame, rules: list[tuple[str, str]], labels: DataFrame | None
         given = labels.groupBy(F.col("page_id").cast("long").alias("page_id")).agg(F.max(F.col("allowed").cast("double")).alias("given"))
         urls = urls.join(given, "page_id", "left")
         allowed = F.coalesce(F.col("given"), allowed)
-    leaves = urls.withColumn("allowed", allowed).groupBy("host", "segments").agg(F.count("allowed").alias("labelled"), F.sum(F.coalesce("allowed", F.lit(0.0))).alias("good"))
-
-    # nodes by level: 0 everything, 1 a first segment on any host, 2 a host, from 3 on the prefixes of a host's templates
-    def node(level: Column, name: Column, parent: Column, segment: Column) -> Column:
-        return F.struct(level.alias("level"), name.alias("node"), parent.alias("parent"), segment.alias("segment"))
-
-    def prefix(i: Column) -> Column:
-        return F.concat_ws("/", "host", F.concat_ws("/", F.slice("segments", F.lit(1), i)))
-
-    none, head = F.lit(""), F.coalesce(F.get("segments", F.lit(0)), F.lit(""))
-    upper = F.array(node(F.lit(0), none, none, none), node(F.lit(1), head, none, head), node(F.lit(2), F.col("host"), none, none))
-    deeper = F.transform(
-        F.filter(F.sequence(F.lit(1), F.lit(DEPTH)), lambda i: i <= F.size("segments")),
-        lambda i: node(i + 2, prefix(i), F.when(i > 1, prefix(i - 1)).otherwise(F.col("host")), F.get("segments", i - 1)),
-    )
-    exploded = leaves.select("labelled", "good", F.explode(F.concat(upper, deeper)).alias("x")).select("labelled", "good", "x.*")
-    counted = exploded.groupBy("level", "node").agg(F.sum("labelled").alias("labelled"), F.sum("good").alias("good"), F.first("parent").alias("parent"), F.first("segment").alias("segment"))
+    urls = urls.withColumn("allowed", allowed).withColumn("leaf", F.concat_ws("/", "host", F.concat_ws("/", "segments")))
+    leaves = cut(urls.groupBy("leaf").agg(F.first("host").alias("node"), F.first("segments").alias("segments"), F.count("*").alias("urls"), F.count("allowed").alias("labelled"), F.sum(F.coalesce("allowed", F.lit(0.0))).alias("good")))
 
     purity = (F.col("good") + weight * F.col("above")) / (F.col("labelled") + weight)
-    everything = counted.filter("level = 0").agg(((F.coalesce(F.sum("good"), F.lit(0.0)) + weight * 0.5) / (F.coalesce(F.sum("labelled"), F.lit(0)) + weight)).alias("above"))
-    everything = F.broadcast(everything)  # one row
-    anywhere = counted.filter("level = 1").crossJoin(everything).select("segment", purity.alias("elsewhere"))
-    done = counted.filter("level = 2").crossJoin(everything).select("node", "labelled", "good", purity.alias("purity"), F.col("node").alias("chosen"))
-    shown = done
-    for depth in range(3, DEPTH + 3):
-        up = done.select(F.col("node").alias("parent"), F.col("purity").alias("above"), F.col("labelled").alias("n2"), F.col("good").alias("g2"), F.col("chosen").alias("up_chosen"))
-        at = counted.filter(F.col("level") == depth)
-        own = at.join(at.groupBy("parent").agg(F.count("*").alias("fan")), "parent").join(up, "parent")
-        if depth == 3:  # a first segment without labels takes after the same one on other hosts
-            own = own.join(anywhere, "segment", "left")
-            unknown = F.col("labelled") == 0
-            own = own.withColumn("above", F.when(unknown, F.col("elsewhere")).otherwise(F.col("above"))).withColumn("up_chosen", F.when(unknown, F.concat(F.lit("*/"), "segment")).otherwise(F.col("up_chosen")))
-        p = (F.col("g2") + 0.5) / (F.col("n2") + 1.0)
-        differs = F.col("labelled") * F.pow(F.col("good") / F.nullif("labelled", F.lit(0)) - p, F.lit(2)) > z * z * p * (1 - p)
-        apart = (F.col("fan") <= fan_out) & F.coalesce(differs, F.lit(False))
-        done = own.select("node", "labelled", "good", F.when(apart, purity).otherwise(F.col("above")).alias("purity"), F.when(apart, F.col("node")).otherwise(F.col("up_chosen")).alias("chosen"))
-        shown = shown.unionByName(done)
-    shown = shown.select(F.col("node").alias("leaf"), "purity", F.col("chosen").alias("template"))
-    full = F.concat_ws("/", F.col("host"), F.when(F.size("segments") > 0, F.concat_ws("/", "segments")))
-    judged = urls.withColumn("leaf", full).join(shown, "leaf", "left")
+    total = leaves.agg(F.sum("urls").alias("urls"), F.sum("labelled").alias("labelled"), F.sum("good").alias("good")).head()
+    everything = ((total["good"] or 0.0) + weight * 0.5) / ((total["labelled"] or 0) + weight)
+    sums = [F.sum("labelled").alias("labelled"), F.sum("good").alias("good")]
+    first = F.coalesce(F.get("segments", F.lit(0)), F.lit(""))
+    anywhere = leaves.groupBy(first.alias("segment")).agg(*sums).withColumn("above", F.lit(everything)).select("segment", purity.alias("elsewhere"))
+    hosts = leaves.groupBy("node").agg(*sums, F.count("*").alias("held")).withColumn("above", F.lit(everything)).select("node", purity.alias("purity"), "held")
+    now = cut(spread_join(leaves.select("leaf", "node", "segments", "urls", "labelled", "good"), hosts, "node", "held", leaves.count()).withColumn("over", F.lit(False)))
+    shown, depth = None, 0
+    while True:
+        ends = (F.size("segments") <= depth) | F.col("over")
+        done = now.filter(ends).select("leaf", "urls", "purity", F.concat("node", F.lit("/")).alias("template"))
+        shown = done if shown is None else shown.unionByName(done)
+        going = now.filter(~ends).withColumn("segment", F.get("segments", F.lit(depth))).withColumn("child", F.concat_ws("/", "node", "segment"))
+        left = going.count()
+        if not left:
+            break
+        branches = going.groupBy("node", "segment").agg(*sums, F.first("purity").alias("above"), F.first("child").alias("child"), F.count("*").alias("held"))
+        share = F.floor(F.col("good") * steps / F.nullif("labelled", F.lit(0)))
+        branches = branches.withColumn("share", share)
+        if depth == 0:
+            branches = branches.join(anywhere, "segment").withColumn("above", F.when(F.col("labelled") == 0, F.col("elsewhere")).otherwise(F.col("above"))).drop("elsewhere")
+        branches = cut(branches)
+        rows = branches.filter("labelled > 0").groupBy("node", "share").agg(*sums, F.count("*").alias("members"), F.first("above").alias("above"))
+        order = Window.partitionBy("node").orderBy("share")
+        n1, g1 = F.lag("labelled").over(order), F.lag("good").over(order)
+        p = (g1 + F.col("good")) / (n1 + F.col("labelled"))
+        differs = F.pow(F.col("good") / F.col("labelled") - g1 / n1, F.lit(2)) > z * z * p * (1 - p) * (1 / n1 + 1 / F.col("labelled"))
+        grouped = rows.withColumn("apart", F.when(n1.isNotNull() & differs, 1).otherwise(0)).withColumn("of", F.sum("apart").over(order))
+        merged = grouped.groupBy("node", "of").agg(*sums, F.sum("members").alias("members"), F.first("above").alias("above"), F.collect_list("share").alias("shares"))  # steps + 1 shares at most
+        judged = merged.select("node", F.explode("shares").alias("share"), "of", "members", purity.alias("purity"))
+        known = branches.filter("labelled > 0").join(judged, ["node", "share"]).select("child", F.when(F.col("members") == 1, F.col("child")).otherwise(F.concat("node", F.lit("/*"), F.col("of").cast("string"))).alias("to"), "purity", "held", F.lit(False).alias("over"))
+        blank = branches.filter("labelled = 0").select("child", F.concat("node", F.lit("/*") if depth else F.concat(F.lit("/"), "segment")).alias("to"), F.col("above").alias("purity"), "held", F.lit(True).alias("over"))
+        now = cut(spread_join(going.drop("purity", "node", "segment", "over"), known.unionByName(blank), "child", "held", left).drop("child").withColumnRenamed("to", "node"))
+        depth += 1
+    found = spread_join(urls.select("page_id", "host", "path", "rule", "ruled", "leaf"), shown, "leaf", "urls", total["urls"] or 0)
     verdict = F.coalesce("ruled", F.when(F.col("purity") < least, F.lit("block")).otherwise(F.lit("allow")))
-    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.concat("template", F.lit("/*")).alias("template"), "purity")
+    return found.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "template", "purity")

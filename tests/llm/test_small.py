@@ -89,7 +89,7 @@ def test_neighbours_are_exact_where_lists_far_outnumber_probes(spark):
     x[1000:] = x[1000:] / 50 + np.eye(16)[np.arange(500) % 8]  # some in clusters, one of many near copies
     x[1400:] = x[0] + x[1400:] / 1000
     df = vectors(spark, [(i, [float(v) for v in x[i]], 0) for i in range(1500)])
-    got = {(r.query_id, r.rank): r.score for r in ann.nearest(df, df.filter("vec_id % 25 = 0"), list_rows=20, probes=3, exact_rows=100, block_rows=60).collect()}
+    got = {(r.query_id, r.rank): r.score for r in ann.nearest(df, df.filter("vec_id % 25 = 0"), list_rows=20, probes=3, block_rows=60).collect()}
     u = x / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
     for i in range(0, 1500, 25):
         best = sorted((float(s) for j, s in enumerate(u @ u[i]) if j != i), reverse=True)[:5]
