@@ -54,7 +54,7 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: Suffix arrays, components, the toxicity model and packing have no SQL form; a brute-force version is in the tests.
+#: Suffix arrays, components, the toxicity model and packing have no SQL form; plain versions of the stages are in tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
