@@ -53,9 +53,10 @@ def spread_join(rows: DataFrame, by: DataFrame, key: str, times: str, total: int
     """rows left-joined with `by`, which has one row a key and how many of the `total` rows have it (`times`, dropped from the result).
 
     A key of more than total / few rows is one of fewer than `few` such keys, so a broadcast of these is bounded; it is split into `parts`.
+    A row's part follows from what it holds and from its task, never from its place in it: a task that runs again deals its rows as before, in whatever order they come.
     """
     hot = by.filter(F.col(times) * few > total).select(key, F.lit(True).alias("_hot"))
-    left = rows.join(F.broadcast(hot), key, "left").withColumn("_part", F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(parts))).otherwise(F.lit(0).cast("long"))).drop("_hot")
+    left = rows.join(F.broadcast(hot), key, "left").withColumn("_part", F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns) + F.spark_partition_id(), F.lit(parts))).otherwise(F.lit(0).cast("long"))).drop("_hot")
     every = F.when(F.col(times) * few > total, F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
     return left.join(by.withColumn("_part", F.explode(every)).drop(times), [key, "_part"], "left").drop("_part")
 

@@ -427,11 +427,11 @@ def _classified(docs: DataFrame, n: int, percent: int, block_sets: int) -> DataF
     # only classes of several rows, or with links, say more than a row itself
     known = classes.join(linked.select("set_key", "root", "component"), "set_key", "left").filter("times > 1 or root is not null")
     known = known.select("set_key", "root", F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component")).alias("component"), "times", F.lit(True).alias("known"))
-    alone = F.encode(F.concat(F.lit("-"), F.monotonically_increasing_id().cast("string")), "utf-8")
+    alone = F.encode(F.concat(F.lit("-"), F.xxhash64("doc_id", "text_key").cast("string")), "utf-8")
     keyed = sets.withColumn("set_key", F.when(F.col("n_shingles") > 0, F.col("set_key")).otherwise(alone))  # an empty set is no key that many rows share
     total = classes.agg(F.coalesce(F.sum("times"), F.lit(0))).head()[0]
     out = spread_join(keyed, known, "set_key", "times", total)
-    label = F.when(F.col("root").isNotNull(), F.encode(F.col("root").cast("string"), "utf-8")).otherwise(F.col("set_key"))
+    label = F.when(F.col("root").isNotNull(), F.encode(F.col("root").cast("string"), "utf-8")).when(F.col("n_shingles") > 0, F.col("set_key"))
     return out.select("doc_id", "n_shingles", "text_key", F.when(F.col("known"), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), label.alias("label"))
 
 
@@ -443,9 +443,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80, block_sets:
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row of docs for each component, with all its columns: that of the smallest id (a null one is the largest), of equal ids that of the smallest hash of its text."""
     rows = _classified(docs, n, percent, 1024)
-    first = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("x"))
+    empty = rows.filter("label is null").select(F.col("doc_id").isNull().alias("__none"), F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("text_key").alias("__text"), F.lit(None).cast("binary").alias("__label"))
+    first = rows.filter("label is not null").groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("x"))
     keys = [F.col("x.none").alias("__none"), F.coalesce("x.doc_id", F.lit(0)).alias("__id"), F.col("x.text_key").alias("__text")]
-    found = first.select(*keys, F.col("label").alias("__label")).groupBy("__none", "__id", "__text").agg(F.count("*").alias("__rows"))
+    found = first.select(*keys, F.col("label").alias("__label")).unionByName(empty).groupBy("__none", "__id", "__text").agg(F.count("*").alias("__rows"))
     own = docs.withColumns({"__none": F.col("doc_id").isNull(), "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "__text": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
     joined = own.join(found, ["__none", "__id", "__text"])
     nth = F.row_number().over(Window.partitionBy("__none", "__id", "__text").orderBy("__rows"))  # rows that repeat id and text: as many stay as there are components of them

@@ -123,4 +123,24 @@ def urls(rules: list[tuple[str, str]], levels: int = 8, weight: float = 8.0, z:
  SELECT page_id, host, path, rule, COALESCE(ruled, CASE WHEN purity < {least} THEN 'block' ELSE 'allow' END) AS verdict, template, purity FROM u JOIN k USING (leaf)"""
 
 
-SQL = {"op1_secrets": SECRETS, "op3_repeats": REPEATS, "op6_jaccard": JACCARD, "op7_topk": TOPK, "op8_neighbours": NEIGHBOURS}
+INFILL = """WITH t AS (SELECT doc_id, COALESCE(text, '') AS t, sha256('1:' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+ d AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM t),
+ c AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+ p AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c)
+ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
+
+LEXICAL = r"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+ s AS (SELECT CAST(COUNT(*) FILTER (len(w) > 0) AS BIGINT) AS nn, CAST(SUM(len(w)) AS BIGINT) AS ll FROM d),
+ q AS (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+ qt AS (SELECT item, item_id, term, COUNT(*) AS times FROM (SELECT item, item_id, unnest(w) AS term FROM q) GROUP BY ALL),
+ p AS (SELECT row, doc_id, len(w) AS n, term, COUNT(*) AS tf FROM (SELECT row, doc_id, w, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM qt) GROUP BY ALL),
+ f AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(nn) + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS weight FROM p, s GROUP BY term),
+ i AS (SELECT row, doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * nn) // ll)) AS impact FROM p, s),
+ r AS (SELECT item, item_id, row, doc_id, CAST(SUM(times * weight * impact) AS BIGINT) AS score FROM qt JOIN f USING (term) JOIN i USING (term) GROUP BY ALL)
+ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM r WHERE score > 0) WHERE rank <= 20"""
+
+EXACT = r"""WITH d AS (SELECT doc_id, length(COALESCE(text, '')) AS n, regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS t FROM documents)
+ SELECT doc_id, first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id NULLS LAST) AS keep_id, COUNT(*) OVER (PARTITION BY t) AS group_size, ROW_NUMBER() OVER (PARTITION BY t ORDER BY n DESC, doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256 FROM d"""
+
+SQL = {"op11_infill": INFILL, "op12_lexical": LEXICAL, "op13_exact": EXACT, "op1_secrets": SECRETS, "op3_repeats": REPEATS, "op6_jaccard": JACCARD, "op7_topk": TOPK, "op8_neighbours": NEIGHBOURS}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grapheon.llm import ann, jaccard, oracles, packing, pieces, quality, secrets, substrings, topk, toxicity, urls
+from grapheon.llm import ann, exact, infill, jaccard, lexical, oracles, packing, pieces, quality, secrets, substrings, topk, toxicity, urls
 from grapheon.llm.common import table
 
 URL_RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
@@ -77,6 +77,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(table(spark, sf_dir, "documents"), seed=1, plain=10, spm=20)
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_toxicity": op2_toxicity,
@@ -88,5 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_urls": op9_urls,
     "op10_packing": op10_packing,
+    "op11_infill": op11_infill,
+    "op12_lexical": op12_lexical,
+    "op13_exact": op13_exact,
 }
 ORACLE_SQL: dict[str, str] = oracles.SQL | {"op9_urls": oracles.urls(URL_RULES)}
