@@ -8,9 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grapheon.operators import similarity
 from grapheon.operators.search import bm25, cosine, cosine_top, fuse
 
 #: Reports less similar to the question than this say nothing about it; calls of the embedding service take so many texts.
@@ -53,13 +54,9 @@ def unified(entities: DataFrame, relations: DataFrame, chunks: DataFrame, query:
     return local(entities, relations, query, words, k).unionByName(text)
 
 
-def similar_within(rows: DataFrame, k: int = 3) -> DataFrame:
-    """src, dst, score: the k nearest rows of the same module. rows: key, module, embedding. The module is compared before anything is ranked, so no foreign row takes a place."""
-    a = rows.select(F.col("key").alias("src"), "module", F.col("embedding").alias("x"))
-    b = rows.select(F.col("key").alias("dst"), "module", F.col("embedding").alias("y"))
-    scored = a.join(b, "module").filter("src <> dst").select("src", "dst", cosine(F.col("x"), F.col("y")).alias("score"))
-    rank = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("score"), "dst"))
-    return scored.withColumn("rank", rank).filter(F.col("rank") <= k).select("src", "dst", "score")
+def similar_within(rows: DataFrame, k: int = 3, counter=None) -> DataFrame:
+    """src, dst, score: the k nearest rows of the same module. rows: key (each once), module, embedding. The module is compared before anything is ranked, so no foreign row takes a place."""
+    return similarity.nearest(rows.select("key", F.col("key").alias("avoid"), F.lit(3).alias("side"), "module", "embedding"), k, "module", counter)
 
 
 def attach(rows: DataFrame, vectors: DataFrame, key: str = "key") -> DataFrame:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grapheon.operators import intervals
+from grapheon.plans.lineage import cut
+
 MONEY = "decimal(18,2)"
 
 
@@ -19,6 +22,22 @@ def by_unit(reached: DataFrame, elements: DataFrame, *by: str) -> DataFrame:
     return reached.join(numeric, "node").groupBy(*by, "unit").agg(exact_sum("num").alias("total"), F.count(F.lit(1)).alias("n"))
 
 
+def by_unit_below(roots: DataFrame, elements: DataFrame, cross: DataFrame) -> DataFrame:
+    """root, unit, total, n of all that each root reaches over ownership and the edges `cross`: prefix differences of ranges, no row for each element below a root. elements: key, owner, unit, num."""
+    numbered = intervals.intervals(intervals.nodes(elements, cross))
+    ranges = cut(intervals.reach(roots, numbered, cross))
+    held = intervals.below(ranges.select("entry", "pre", "post").distinct(), numbered, elements.filter("num is not null").select("key", "unit", "num"))
+    sums = ranges.select("root", "entry").join(held, "entry").groupBy("root", "unit").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return sums.select("root", "unit", F.col("total").cast("double").alias("total"), "n")
+
+
+def sizes_below(roots: DataFrame, elements: DataFrame, cross: DataFrame) -> DataFrame:
+    """root, size: how many elements each root reaches over ownership and the edges `cross`, itself left out."""
+    numbered = intervals.intervals(intervals.nodes(elements, cross))
+    ranges = intervals.reach(roots, numbered, cross)
+    return ranges.groupBy("root").agg((F.sum(F.col("post") - F.col("pre") + 1) - 1).alias("size")).filter("size > 0")
+
+
 def with_parts(reached: DataFrame, elements: DataFrame, *by: str) -> DataFrame:
     """unit, total and the parts that make it (value, name), largest first; apart for the columns `by`. A total's parts are one row: meant for totals that a reader looks through."""
     numeric = elements.filter("num is not null").select(F.col("key").alias("node"), "name", "unit", "num")

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from grapheon.operators import similarity
 from grapheon.plans.lineage import cut
 
 K1, B, RRF = 1.2, 0.75, 60
@@ -67,18 +68,14 @@ def fuse(rankings: Sequence[DataFrame], k: int, key: str = "doc_id") -> DataFram
     return ranks.groupBy(key).agg(F.sum(1.0 / (RRF + F.col("rank"))).alias("rrf")).orderBy(F.desc("rrf"), key).limit(k)
 
 
-def analogies(rows: DataFrame, floor: float = 0.55, window: int = 50) -> DataFrame:
+def analogies(rows: DataFrame, floor: float = 0.55, window: int = 50, counter=None) -> DataFrame:
     """src, dst, score: for rows of all models but the largest, the `window` nearest rows of the same role in other models.
 
-    rows: key, model, role, embedding. The join is on role, which a filter on both models narrows.
+    rows: key, model, role, embedding. A similarity join with bounds from pivots; see operators/similarity.py.
     """
-    largest = rows.groupBy("model").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "model").limit(1).select("model")
-    drivers = rows.join(F.broadcast(largest), "model", "left_anti")
-    a = drivers.select(F.col("key").alias("src"), F.col("model").alias("m"), "role", F.col("embedding").alias("x"))
-    b = rows.select(F.col("key").alias("dst"), F.col("model").alias("o"), "role", F.col("embedding").alias("y"))
-    scored = a.join(b, "role").filter("m <> o").select("src", "dst", cosine(F.col("x"), F.col("y")).alias("score")).filter(F.col("score") >= floor)
-    best = F.row_number().over(Window.partitionBy("src").orderBy(F.desc("score"), "dst"))
-    return scored.withColumn("rank", best).filter(F.col("rank") <= window).drop("rank")
+    largest = rows.groupBy("model").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "model").limit(1).select(F.col("model").alias("_largest"))
+    sided = rows.join(F.broadcast(largest), F.col("model") == F.col("_largest"), "left").select("key", F.col("model").alias("avoid"), "role", "embedding", F.when(F.col("_largest").isNull(), 3).otherwise(2).alias("side"))
+    return similarity.pairs_over(sided, floor, window, "role", counter)
 
 
 def reciprocal_once(pairs: DataFrame) -> DataFrame:

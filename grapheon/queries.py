@@ -17,13 +17,13 @@ def _roots(g: Graph, kind: str = "region/") -> DataFrame:
     return g.elements.filter(F.col("key").startswith(kind)).select(F.col("key").alias("root"))
 
 
-@query("WITH RECURSIVE {graph}, walk AS (SELECT 'region/1' AS node UNION SELECT e.dst FROM walk w JOIN edges e ON e.src = w.node AND e.label IN ('owns', 'typedBy'))"
-       " SELECT unit, " + TOTAL.format(c="num") + " AS total, COUNT(*) AS n FROM walk JOIN elements ON key = node WHERE num IS NOT NULL GROUP BY unit")
+@query("WITH RECURSIVE {graph}, walk AS (SELECT key AS root, key AS node FROM elements WHERE kind = 'package' UNION SELECT w.root, e.dst FROM walk w JOIN edges e ON e.src = w.node AND e.label IN ('owns', 'typedBy'))"
+       " SELECT root, unit, " + TOTAL.format(c="num") + " AS total, COUNT(*) AS n FROM walk JOIN elements ON key = node WHERE num IS NOT NULL GROUP BY root, unit")
 def composition_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals by unit of everything below one region."""
+    """Totals by unit of everything below each package, on the interval index."""
     g = _graph(spark, sf_dir)
-    reached = traverse.walk(_roots(g).filter("root = 'region/1'"), g.labelled(*COMPOSITION))
-    return rollup.by_unit(reached, g.elements)
+    roots = g.elements.filter("kind = 'package'").select(F.col("key").alias("root"))
+    return rollup.by_unit_below(roots, g.elements, g.labelled(*COMPOSITION[1:]))
 
 
 @query("WITH RECURSIVE {graph}, walk AS (SELECT key AS root, key AS node, 0 AS depth FROM elements WHERE key LIKE 'region/%' UNION SELECT w.root, e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.node AND e.label = 'owns')"
@@ -37,21 +37,22 @@ def walk_least_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
        " SELECT root, COUNT(*) - 1 AS size FROM walk GROUP BY root HAVING COUNT(*) > 1 ORDER BY size DESC, root LIMIT 10")
 def subtree_size_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _graph(spark, sf_dir)
-    return traverse.subtree_sizes(_roots(g, "nation/"), g.labelled(*COMPOSITION)).orderBy(F.desc("size"), "root").limit(10)
+    return rollup.sizes_below(_roots(g, "nation/"), g.elements, g.labelled(*COMPOSITION[1:])).orderBy(F.desc("size"), "root").limit(10)
 
 
-@query("WITH RECURSIVE {graph}, up AS (SELECT 'order/1' AS node, 0 AS depth UNION SELECT e.src, depth + 1 FROM up JOIN edges e ON e.dst = node AND e.label = 'owns') SELECT node, depth FROM up WHERE depth > 0")
+@query("WITH RECURSIVE {graph}, up AS (SELECT key AS root, key AS node, 0 AS depth FROM elements WHERE kind = 'part' UNION SELECT root, e.src, depth + 1 FROM up JOIN edges e ON e.dst = node AND e.label = 'owns') SELECT root, node, depth FROM up WHERE depth > 0")
 def walk_inbound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything that each part lies in."""
     g = _graph(spark, sf_dir)
-    start = g.elements.filter("key = 'order/1'").select(F.col("key").alias("root"))
-    return traverse.walk(start, g.labelled("owns"), least=1, direction="in").select("node", "depth")
+    parts = g.elements.filter("kind = 'part'").select(F.col("key").alias("root"))
+    return traverse.walk(parts, g.labelled("owns"), least=1, direction="in")
 
 
-@query("WITH {graph} SELECT DISTINCT dst AS node FROM (SELECT src, dst FROM edges WHERE label = 'owns' UNION ALL SELECT dst, src FROM edges WHERE label = 'owns') WHERE src = 'nation/3'")
+@query("WITH {graph} SELECT DISTINCT src AS root, dst AS node FROM (SELECT src, dst FROM edges WHERE label = 'owns' UNION ALL SELECT dst, src FROM edges WHERE label = 'owns') WHERE src LIKE 'customer/%'")
 def neighbours_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each customer is next to, either way round."""
     g = _graph(spark, sf_dir)
-    start = g.elements.filter("key = 'nation/3'").select("key")
-    return traverse.hop(start, g.labelled("owns"), direction="any").select(F.col("dst").alias("node")).distinct()
+    return traverse.hop(_roots(g, "customer/"), g.labelled("owns"), "root", "any").select("root", F.col("dst").alias("node")).distinct()
 
 
 @query("WITH {graph}, l AS (SELECT 'order/' || l_orderkey AS o, 'part/' || l_partkey AS p, SUM(CAST(l_quantity AS BIGINT)) AS m FROM lineitem GROUP BY 1, 2)"
@@ -72,11 +73,11 @@ def coverage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.coverage(g.elements.filter("kind = 'requirement'"), g.edges)
 
 
-@query("WITH {graph} SELECT key, name FROM elements WHERE kind = 'requirement' AND key NOT IN (SELECT dst FROM edges WHERE label = 'satisfies' AND src = 'supplier/1')")
+@query("WITH {graph} SELECT key, name FROM elements WHERE kind = 'requirement' AND key NOT IN (SELECT dst FROM edges WHERE label = 'satisfies')")
 def unsatisfied(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requirements that one supplier doesn't satisfy: an anti-join."""
+    """Requirements that nothing satisfies: an anti-join."""
     g = _graph(spark, sf_dir)
-    return rollup.uncovered(g.elements.filter("kind = 'requirement'"), g.edges.filter("src = 'supplier/1'")).select("key", "name")
+    return rollup.uncovered(g.elements.filter("kind = 'requirement'"), g.edges).select("key", "name")
 
 
 @query("WITH RECURSIVE {graph}, walk AS (SELECT key AS root, key AS node FROM elements WHERE key LIKE 'region/%' UNION SELECT w.root, e.dst FROM walk w JOIN edges e ON e.src = w.node AND e.label IN ('owns', 'typedBy'))"
@@ -84,7 +85,7 @@ def unsatisfied(spark: SparkSession, sf_dir: str) -> DataFrame:
 def composition_rollup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals by unit of everything below each region."""
     g = _graph(spark, sf_dir)
-    return rollup.by_unit(traverse.walk(_roots(g), g.labelled(*COMPOSITION)), g.elements, "root")
+    return rollup.by_unit_below(_roots(g), g.elements, g.labelled(*COMPOSITION[1:]))
 
 
 @query("WITH RECURSIVE {graph}, up AS (SELECT key AS root, key AS node, 0 AS depth FROM elements WHERE key LIKE 'order/%' UNION SELECT root, e.src, depth + 1 FROM up JOIN edges e ON e.dst = node AND e.label = 'owns') SELECT root, node, depth FROM up WHERE depth > 0")

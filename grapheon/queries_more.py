@@ -64,9 +64,9 @@ def retrieve_local(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _texted(retrieve.local(_entities(spark, sf_dir), _links(spark, sf_dir), _question(spark, sf_dir), WORDS))
 
 
-@query(f"WITH {Q} SELECT 'report' AS what, CAST(vec_id AS VARCHAR) AS key, round(score, 8) AS score FROM (SELECT vec_id, {COSINE.format(a='embedding', b='x')} AS score FROM embeddings, q WHERE vec_id % 3 = 0 ORDER BY 2 DESC, 1 LIMIT 5) WHERE score >= 0.25", False)
+@query(f"WITH {Q} SELECT 'report' AS what, CAST(vec_id AS VARCHAR) AS key, round(score, 8) AS score FROM (SELECT vec_id, {COSINE.format(a='embedding', b='x')} AS score FROM embeddings, q ORDER BY 2 DESC, 1 LIMIT 5) WHERE score >= 0.25", False)
 def retrieve_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "embeddings").filter("vec_id % 3 = 0").select(F.col("vec_id").alias("key"), "embedding")
+    rows = _read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("key"), "embedding")
     return _texted(retrieve.reports(rows, _question(spark, sf_dir)))
 
 
@@ -238,11 +238,11 @@ def import_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.import_cycles(files.import_edges(sources), declared)
 
 
-@query("SELECT source AS module, string_agg('// ' || doc_id || chr(10) || lang, chr(10) ORDER BY CAST(doc_id AS VARCHAR)) AS text FROM documents WHERE lang = 'es' GROUP BY 1", False)
+@query("SELECT 'm' || doc_id // 16 AS module, string_agg('// ' || doc_id || chr(10) || COALESCE(text, ''), chr(10) ORDER BY CAST(doc_id AS VARCHAR)) AS text FROM documents GROUP BY 1", False)
 def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of each module as one text."""
-    d = _read(spark, sf_dir, "documents").filter("lang = 'es'").select("source", F.col("doc_id").cast("string").alias("path"), F.col("lang").alias("text"))
-    return files.combine(d, "source").select(F.col("source").alias("module"), "text")
+    """The whole files of each module as one text. A module is a row, so the query's hold sixteen files each."""
+    module = F.concat(F.lit("m"), F.floor(F.col("doc_id") / 16).cast("string"))
+    return files.combine(_read(spark, sf_dir, "documents").select(module.alias("module"), F.col("doc_id").cast("string").alias("path"), "text"))
 
 
 @query("SELECT doc_id || '/x' AS path, CAST(doc_id AS VARCHAR) AS module, length(text) - length(replace(text, chr(10), '')) + 1 AS lines, length(text) AS characters, length(substr(text, 1, 4800)) AS head FROM documents", False)

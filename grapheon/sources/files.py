@@ -57,7 +57,7 @@ def import_cycles(edges: DataFrame, declared: DataFrame, most: int = 8) -> DataF
 def combine(sources: DataFrame, by: str = "module") -> DataFrame:
     """One row for each module with the texts of its files in path order, each under its path. sources: path, text, and the column `by`."""
     parts = sources.groupBy(by).agg(F.sort_array(F.collect_list(F.struct("path", "text"))).alias("x"))
-    return parts.select(by, F.array_join(F.transform("x", lambda s: F.concat(F.lit("// "), s["path"], F.lit("\n"), s["text"])), "\n").alias("text"))
+    return parts.select(by, F.array_join(F.transform("x", lambda s: F.concat(F.lit("// "), s["path"], F.lit("\n"), F.coalesce(s["text"], F.lit("")))), "\n").alias("text"))
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "module") -> None:

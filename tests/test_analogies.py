@@ -11,7 +11,7 @@ def cosine(x, y):
     return dot(x, y) / (math.sqrt(dot(x, x)) * math.sqrt(dot(y, y)))
 
 
-def plain(rows, floor=0.55, window=50, per_src=3, per_dst=2):
+def plain(rows, floor=0.3, window=50, per_src=3, per_dst=2):
     """One pass over all pairs. Of two models of the same size, 0 counts as the largest."""
     pairs = []
     for s, x, role in rows:

@@ -13,6 +13,7 @@ def test_query_matches_its_sql(spark, name):
     compare(spark, name, queries.QUERIES[name], queries.ORACLE_SQL[name], SF)
 
 
-def test_queries_without_sql_run(spark):
+def test_queries_without_sql_have_rows(spark):
+    """What they hold is tested against plain loops: test_analogies, test_rest."""
     for name in set(queries.QUERIES) - set(queries.ORACLE_SQL):
-        assert queries.QUERIES[name](spark, SF).count() >= 0
+        assert queries.QUERIES[name](spark, SF).count() > 0, name
