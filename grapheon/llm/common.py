@@ -40,13 +40,9 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def size_hint(df: DataFrame, unknown: int = 1 << 32) -> int:
-    """Catalyst's estimate of the bytes behind df; `unknown` where it has none."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # a session without JVM access, such as a remote one
-        return unknown
-    return size if 0 < size < 1 << 56 else unknown
+def text_bytes(docs: DataFrame, text: str = "text") -> int:
+    """Bytes of all texts, counted."""
+    return docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text).cast("string")).cast("long")), F.lit(0))).head()[0]
 
 
 def spread_join(rows: DataFrame, by: DataFrame, key: str, times: str, total: int, few: int = 1000, parts: int = 64) -> DataFrame:

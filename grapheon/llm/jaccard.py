@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from grapheon.llm.common import cut, lean, lean_group, size_hint, slices, spread_join
+from grapheon.llm.common import cut, lean, lean_group, slices, spread_join, text_bytes
 from grapheon.llm.components import components
 from grapheon.llm.fingerprints import ROWS, batch_ids, batch_rows, bucket_bits, mix, squeezed, starts, unsqueezed, with_counts
 
@@ -409,7 +409,7 @@ def _classified(docs: DataFrame, n: int, percent: int, block_sets: int) -> DataF
     """doc_id, n_shingles, text_key (a hash of the text), component_id and label (what names the component, also where all of its ids are null) of each row."""
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"))
-    bits = bucket_bits(size_hint(rows), 8 << 20)
+    bits = bucket_bits(text_bytes(rows), 16 << 20)
     sketch = cut(rows.mapInArrow(lean(_sketch(n, bits)), ROWS))
     sets = sketch.filter("kind = 0").select("a", "b").mapInArrow(lean(_all_sets), SETS)
     classes = cut(sets.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"), F.count("*").alias("times")))

@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grapheon.llm.common import cut, lean, lean_group, size_hint, slices
+from grapheon.llm.common import cut, lean, lean_group, slices, text_bytes
 from grapheon.llm.fingerprints import ROWS, batch_ids, batch_rows, bucket_bits, by_batch, homes, mix, squeezed, starts, unsqueezed, with_counts
 from grapheon.llm.suffixes import permuted_prefixes, suffix_array
 
@@ -300,8 +300,8 @@ def _run(docs: DataFrame, length: int, finish, schema, carried: bool = False) ->
     if not GRAM <= length < 1 << 15:
         raise ValueError(f"length isn't from {GRAM} to {(1 << 15) - 1}")  # an anchor's string lies in its windows, and a context's size takes 16 bits
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
-    size = size_hint(docs.select(columns))
-    bits, shard_bits = bucket_bits(size, 16 << 20), bucket_bits(size, 1 << 20)
+    size = text_bytes(docs)
+    bits, shard_bits = bucket_bits(size, 32 << 20), bucket_bits(size, 2 << 20)
     if carried:
         columns.append(F.struct(*(F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns) if c != "text")).alias("row"))
     sketch = cut(docs.select(columns).mapInArrow(lean(_sketch(length, bits)), ROWS))
