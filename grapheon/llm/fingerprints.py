@@ -106,7 +106,7 @@ def by_batch(home: DataFrame, more: DataFrame, run, schema: str) -> DataFrame:
 
 
 def squeezed(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data)
+    return zstandard.ZstdCompressor(level=7).compress(data)
 
 
 def unsqueezed(data: bytes) -> bytes:
