@@ -1,12 +1,12 @@
 """Piece encoding and decoding: Viterbi over a piece vocabulary, with forward scores shared by common prefixes.
 
-A text is cut before each space; spaces become the mark U+2581, and a mark is put first. The distinct marked words of a
-slice of documents that aren't known yet are sorted, which walks their trie depth-first: a word keeps the forward scores, back
-links and open vocabulary matches of the prefix that it shares with the word before, and goes on from there. Open matches
+A space is put before a text, and it is cut before each space that follows something else, so a word is a run of spaces and what comes after it; the
+vocabulary's mark U+2581 stands for a space. The distinct words of a slice of documents that aren't known yet are sorted, which walks their trie depth-first: a
+word keeps the forward scores, back links and open vocabulary matches of the prefix that it shares with the word before, and goes on from there. Open matches
 walk the trie of pieces along, so a step looks only at pieces that can still end. A word's segmentation is the one of largest total score, ties to the
-longer last piece. Characters that no piece covers, and marks that a text holds itself, become byte pieces, so that decoding
-gives back every text exactly. Scores are the vocabulary's own; with a merge-ranked vocabulary the best sum of scores need not
-be the result of the merges.
+longer last piece; no piece of the supplied vocabulary has a mark after another character, so the words' best sums make up the text's. (Of another vocabulary such
+pieces aren't used.) Characters that no piece covers, and marks that a text holds itself, become byte pieces, so that decoding gives back every text exactly.
+Scores are the vocabulary's own; with a merge-ranked vocabulary the best sum of scores need not be the result of the merges.
 
 Nulls: a null text is an empty text, without ids; a null doc_id stays null. Repeated rows are encoded each. Columns other than doc_id and text are
 ignored. An empty table gives an empty result. Long texts without spaces are one word, which takes memory in proportion.
@@ -15,6 +15,7 @@ ignored. An empty table gives an empty result. Long texts without spaces are one
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from grapheon.llm.common import slices
 
 MARK = "▁"
+WORD = re.compile(" +[^ ]*")
 ENCODED = "doc_id long, n_words long, n_ids long, ids_crc32 long, ids binary"
 REPORT = "doc_id long, n_words long, n_ids long, ids_crc32 long, decoded_sha256 string, exact boolean"
 
@@ -48,10 +50,10 @@ class Pieces:
                 self.raw.append(bytes([int(piece[3:5], 16)]))
                 continue
             self.raw.append(piece.replace(MARK, " ").encode())
-            if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or MARK in piece[1:]:
+            if sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i) or MARK in piece.lstrip(MARK):
                 continue
             node = self.trie
-            for c in piece:
+            for c in piece.replace(MARK, " "):
                 node = node.setdefault(c, {})
             node[""] = (sp.get_score(i), i)
             least = min(least, sp.get_score(i))
@@ -76,15 +78,14 @@ class Pieces:
             for j in range(n, len(word)):
                 c = word[j]
                 score, back, still = -1e300, None, []
-                if j == 0 or c != MARK:
-                    for start, node in (*opened[j], (j, trie)):
-                        node = node.get(c)
-                        if node is not None:
-                            still.append((start, node))
-                            end = node.get("")
-                            if end is not None and best[start] + end[0] > score:
-                                score, back = best[start] + end[0], (start, end[1].to_bytes(4, "little"))
-                if back is None or back[0] == j and score < best[j] + rare:
+                for start, node in (*opened[j], (j, trie)):
+                    node = node.get(c)
+                    if node is not None:
+                        still.append((start, node))
+                        end = node.get("")
+                        if end is not None and best[start] + end[0] > score:
+                            score, back = best[start] + end[0], (start, end[1].to_bytes(4, "little"))
+                if score < best[j] + rare:
                     data = c.encode()
                     low = best[j] + rare * len(data)
                     if low > score:
@@ -101,7 +102,7 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[tuple[int, bytes]]:
         """For each text the number of words and the ids as little-endian uint32."""
-        split = [[MARK + w for w in t.split(" ")] if t else [] for t in texts]
+        split = [WORD.findall(" " + t) if t else [] for t in texts]
         if len(self.held) > self.keep:
             self.held.clear()
         new = {w for ws in split for w in ws}.difference(self.held)
