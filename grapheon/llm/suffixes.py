@@ -2,13 +2,16 @@
 
 Suffixes are of type S (smaller than the next one) or L (larger). The leftmost S suffixes (LMS) are sorted by their
 substrings up to the next one: put into buckets by first symbol, then L suffixes are induced from left to right and S suffixes
-from right to left. Equal substrings get one name; if names repeat, the string of names is sorted in turn: by this function again while it has few
-names, else by doubling ranks, for a pass over buckets costs a step for each symbol. The sorted LMS suffixes then induce
-the order of all. A bucket's suffixes are taken in waves: all that are there, then those that these put into the same bucket.
+from right to left. Equal substrings get one name; if names repeat, the string of names is sorted by this function in turn. A pass over buckets costs a step for each
+symbol, so where there are many names each is written as two digits of about the root of their number: its suffixes at even places are in the order of the names'.
+The LMS suffixes are half of all at most, so the string gets shorter even so. Sorted, they induce the order of all. A bucket's suffixes are taken in waves: all
+that are there, then those that these put into the same bucket.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
 
@@ -80,21 +83,12 @@ def _induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, sizes: np.ndarray
     return sa
 
 
-def _by_doubling(names: np.ndarray) -> np.ndarray:
-    n = len(names)
-    rank = names.astype(np.int64) + 1
-    k = 1
-    while True:
-        other = np.zeros(n, np.int64)
-        other[: n - k] = rank[k:] if k < n else 0
-        key = rank * (n + 1) + other
-        order = np.argsort(key)  # equal keys keep any order until they differ
-        rise = np.append(True, key[order][1:] != key[order][:-1])
-        if rise.all():
-            return order
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(rise)
-        k *= 2
+def _digits(names: np.ndarray) -> np.ndarray:
+    """Each name as two digits from 1; the last name, which is the only 0, as the only 0."""
+    base = math.isqrt(int(names.max())) + 1
+    out = np.empty((len(names) - 1, 2), np.int64)
+    out[:, 0], out[:, 1] = np.divmod(names[:-1], base)
+    return np.append(out.ravel() + 1, 0)
 
 
 def suffix_array(s: np.ndarray, few: int = 512) -> np.ndarray:
@@ -106,8 +100,6 @@ def suffix_array(s: np.ndarray, few: int = 512) -> np.ndarray:
     small = _types(s)
     lms = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(np.int32 if n < 1 << 31 else np.int64)
     sizes = np.bincount(s)
-    if not len(lms):
-        return np.argsort(s, kind="stable") if n < 2 else _by_doubling(s)
     sa = _induce(s, small, lms, sizes)
     # names of LMS substrings, in their order
     is_lms = np.zeros(n, bool)
@@ -134,14 +126,16 @@ def suffix_array(s: np.ndarray, few: int = 512) -> np.ndarray:
     elif top < few:
         order = suffix_array(reduced, few)  # the last LMS suffix is the sentinel, the only 0
     else:
-        order = _by_doubling(reduced)
+        order = suffix_array(_digits(reduced), few)
+        order = order[order % 2 == 0] // 2
     return _induce(s, small, lms[order], sizes)
 
 
 def permuted_prefixes(s: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     """For each suffix, in the order of the text: symbols that it shares with the suffix before it in sa, `most` at most.
 
-    Symbols take a byte. Eight are compared at a time, and only where all before agree.
+    A suffix shares at least as much as one that starts d symbols earlier, less d. So every 64th suffix is compared from its start, then those halfway between
+    from what the one before leaves, and so on; what is compared adds up to a multiple of the text. Symbols take a byte, and eight are compared at a time.
     """
     n = len(s)
     ends = np.zeros(n + most + 16, np.uint8)  # past the end nothing agrees with a symbol but another end, and ends aren't aligned
@@ -149,18 +143,30 @@ def permuted_prefixes(s: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     word = np.zeros(n + most + 8, np.uint64)
     for k in range(8):
         word |= ends[k : len(word) + k].astype(np.uint64) << np.uint64(8 * k)
-    out = np.zeros(n, np.int32)
-    a, b = sa[1:], sa[:-1]
-    at = 0
-    while len(a) and at < most:
-        differ = word[a + at] ^ word[b + at]
-        no = np.flatnonzero(differ)
-        if len(no):
+    before = np.full(n, -1, np.int64)
+    before[sa[1:]] = sa[:-1]
+    out = np.zeros(n, np.int64)
+
+    def grow(a: np.ndarray, at: np.ndarray) -> None:
+        b = before[a]
+        a, b, at = a[b >= 0], b[b >= 0], at[b >= 0]
+        while len(a):
+            differ = word[a + at] ^ word[b + at]
+            no = np.flatnonzero(differ)
             low = differ[no]
             low &= ~low + np.uint64(1)  # the lowest bit that differs
-            out[a[no]] = at + ((np.frexp(low.astype(np.float64))[1] - 1) >> 3)
-            yes = np.flatnonzero(differ == 0)
-            a, b = a[yes], b[yes]
-        at += 8
-    out[a] = most
-    return np.minimum(out, most)
+            out[a[no]] = at[no] + ((np.frexp(low.astype(np.float64))[1] - 1) >> 3)
+            on = np.flatnonzero(differ == 0)
+            a, b, at = a[on], b[on], at[on] + 8
+            full = at >= most
+            out[a[full]] = most
+            a, b, at = a[~full], b[~full], at[~full]
+
+    step = 64
+    grow(np.arange(0, n, step), np.zeros(-(-n // step), np.int64))
+    while step > 1:
+        between = np.arange(step // 2, n, step)
+        least = np.maximum(np.minimum(out[between - step // 2], most) - step // 2, 0)
+        grow(between, least)
+        step //= 2
+    return np.minimum(out, most).astype(np.int32)

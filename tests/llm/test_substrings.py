@@ -101,3 +101,30 @@ def test_suffix_arrays(few):
             while k < 10 and i + k < len(s) and j + k < len(s) and s[i + k] == s[j + k]:
                 k += 1
             assert shared[i] == k
+
+
+def shared_symbols(s, a, b):
+    n = 0
+    while a + n < len(s) and b + n < len(s) and s[a + n] == s[b + n]:
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize(("symbols", "period"), [(3, 0), (3, 37), (200, 0), (200, 150), (1, 0)])
+def test_names_by_digits_and_prefixes_by_the_recurrence(symbols, period):
+    """Few names at a time, so that each level goes by digits; long repeats, so that prefixes reach the bound."""
+    rng = np.random.default_rng(symbols + period)
+    s = rng.integers(1, symbols + 1, 900)
+    if period:
+        s = np.tile(s[:period], 900 // period + 1)
+        s[rng.integers(0, len(s), 3)] = 1
+    s = np.append(s, 0)
+    want = sorted(range(len(s)), key=lambda i: s[i:].tolist())
+    for few in (1, 4, 512):
+        assert suffix_array(s, few).tolist() == want
+    for most in (5, 64, 250):
+        got = permuted_prefixes(s.astype(np.uint8), np.array(want), most)
+        expected = np.zeros(len(s), int)
+        for a, b in zip(want[1:], want[:-1]):
+            expected[a] = min(shared_symbols(s, a, b), most)
+        assert got.tolist() == expected.tolist()
