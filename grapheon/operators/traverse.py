@@ -37,6 +37,32 @@ def walk(roots: DataFrame, edges: DataFrame, most: int = 8, least: int = 0, dire
     return seen.filter(F.col("depth") >= least)
 
 
+def forest(edges: DataFrame, direction: str = "out") -> bool:
+    """Whether no element is entered by two edges, so that a walk has as many paths as elements."""
+    twice = directed(edges, direction).distinct().groupBy("dst").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return direction != "any" and twice.isEmpty()
+
+
+def walk_recursive(roots: DataFrame, edges: DataFrame, most: int = 8, least: int = 0, direction: str = "out") -> DataFrame:
+    """The rows of `walk`, by Spark's own recursive relation: one statement, without checkpoints or actions of ours.
+
+    A recursion's union keeps repeats, so it has a row for each path, and only the result has each element once. Choose it for forests (see `forest`) and short walks; `walk`
+    for graphs whose paths meet or run in circles, where paths outgrow elements, and for walks that are to survive lost executors level by level.
+    """
+    spark = roots.sparkSession
+    rows = "spark.sql.cteRecursionRowLimit"
+    if spark.conf.get(rows) != "-1":
+        spark.conf.set(rows, "-1")  # the relation is distributed; a limit of rows would be an error at scale
+    out = spark.sql(
+        f"""WITH RECURSIVE w(root, node, depth) MAX RECURSION LEVEL {most + 1} AS (
+          SELECT root, root AS node, 0 AS depth FROM {{starts}}
+          UNION ALL SELECT w.root, s.dst, w.depth + 1 FROM w JOIN {{steps}} s ON s.src = w.node WHERE w.depth < {most})
+        SELECT root, node, min(depth) AS depth FROM w GROUP BY root, node""",
+        starts=roots.select("root").distinct(), steps=directed(edges, direction).distinct(),
+    )
+    return out.filter(F.col("depth") >= least)
+
+
 def within(edges: DataFrame, collection: str) -> DataFrame:
     """Edges that lead to elements of one collection (keys `collection/...`): a walk over them stays in it."""
     return edges.filter(F.substring_index("dst", "/", 1) == collection)

@@ -33,6 +33,13 @@ def walk_least_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traverse.walk(_roots(g), g.labelled("owns"), most=2)
 
 
+@query("WITH RECURSIVE {graph}, walk AS (SELECT key AS root, key AS node, 0 AS depth FROM elements WHERE kind = 'package' UNION SELECT w.root, e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.node AND e.label = 'owns') SELECT * FROM walk WHERE depth > 0")
+def walk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything below each package, by a recursive relation; ownership is a forest."""
+    g = _graph(spark, sf_dir)
+    return traverse.walk_recursive(g.elements.filter("kind = 'package'").select(F.col("key").alias("root")), g.labelled("owns"), least=1)
+
+
 @query("WITH RECURSIVE {graph}, walk AS (SELECT key AS root, key AS node FROM elements WHERE key LIKE 'nation/%' UNION SELECT w.root, e.dst FROM walk w JOIN edges e ON e.src = w.node AND e.label IN ('owns', 'typedBy'))"
        " SELECT root, COUNT(*) - 1 AS size FROM walk GROUP BY root HAVING COUNT(*) > 1 ORDER BY size DESC, root LIMIT 10")
 def subtree_size_top(spark: SparkSession, sf_dir: str) -> DataFrame:

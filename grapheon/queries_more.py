@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from grapheon.functions import scalar
 from grapheon.operators import mutate, retrieve, rollup, search, traverse
-from grapheon.plans import guard
+from grapheon.plans import binds, guard, validate
 from grapheon.registry import BM25_SQL, TOTAL, _graph, _read, query
 from grapheon.queries_survey import SQL as SURVEY_SQL
 from grapheon.queries_survey import model
@@ -217,6 +217,49 @@ def bound_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return guard.read_only(spark, "SELECT c_mktsegment AS segment, COUNT(*) AS n FROM parquet.`" + f"{sf_dir}/customer.parquet" + "` WHERE c_acctbal >= :least AND c_mktsegment <> :but GROUP BY 1", {"least": 1000.0, "but": "BUILDING"})
 
 
+@query("""WITH RECURSIVE {graph}, c AS (SELECT owner AS key, COUNT(*) AS n FROM elements WHERE owner IS NOT NULL GROUP BY 1), w AS (SELECT e.key AS root, e.key AS node FROM elements e JOIN c USING (key) WHERE c.n > 1 AND kind IN ('part', 'item', 'package', 'action')
+ UNION SELECT w.root, e.dst FROM w JOIN edges e ON e.src = w.node AND e.label IN ('owns', 'typedBy')),
+ a AS (SELECT root, attribute, COUNT(*) AS n FROM w JOIN elements ON key = node WHERE node <> root AND num IS NOT NULL GROUP BY 1, 2), t AS (SELECT root, SUM(n) AS valued FROM a GROUP BY 1), s AS (SELECT root, COUNT(*) - 1 AS size FROM w GROUP BY 1),
+ b AS (SELECT root, valued, size FROM t JOIN s USING (root) ORDER BY valued DESC, size DESC, root LIMIT 1)
+ SELECT (SELECT kind FROM elements GROUP BY kind ORDER BY COUNT(*) DESC, kind LIMIT 1) AS kind, (SELECT MIN(key) FROM elements WHERE kind = 'requirement') AS requirement, CAST(NULL AS VARCHAR) AS state, CAST(NULL AS VARCHAR) AS element,
+ (SELECT MIN(substr(name, 1, 4)) FROM elements WHERE length(name) > 4) AS word, 'owns' AS label, b.root AS start, e.name, (SELECT attribute FROM a WHERE a.root = b.root ORDER BY n DESC, attribute LIMIT 1) AS attribute, CAST(b.valued AS BIGINT) AS valued, b.size FROM b JOIN elements e ON e.key = b.root""")
+def bind_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values for the parameters of example queries; states and connections are in the survey's graph, not in this one."""
+    g = _graph(spark, sf_dir)
+    return binds.bind_values(g.elements, g.edges, g.labelled("typedBy", "subsets", "redefines"))
+
+
+DOCUMENT = """# Orders
+```sql
+SELECT o_custkey, COUNT(*) AS n FROM orders_now GROUP BY o_custkey
+```
+What a customer is owed, by segment:
+```sql
+SELECT * FROM customer_now WHERE c_mktsegment = :kind AND c_acctbal >= 0
+```
+```sql
+DROP TABLE orders_now
+```
+```sql
+SELECT nothing FROM orders_now
+```
+```sql
+SELECT n_name FROM nation_now WHERE n_name LIKE '<WORD>%' -- not a :parameter
+```
+"""
+
+
+@query("""SELECT 1 AS n, true AS parses, true AS runs, (SELECT COUNT(DISTINCT o_custkey) FROM orders) AS rows, '' AS binds UNION ALL SELECT 2, true, true, (SELECT COUNT(*) FROM customer WHERE c_mktsegment = (SELECT MIN(c_mktsegment) FROM customer) AND c_acctbal >= 0), 'kind'
+ UNION ALL SELECT 3, false, false, 0, '' UNION ALL SELECT 4, false, false, 0, '' UNION ALL SELECT 5, true, true, (SELECT COUNT(*) FROM nation WHERE starts_with(n_name, (SELECT MIN(substr(n_name, 1, 5)) FROM nation))), ''""", False)
+def checked_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blocks of a document over the tables, run with a time limit; the third writes and the fourth names no column."""
+    for name in ("orders", "customer", "nation"):
+        _read(spark, sf_dir, name).createOrReplaceTempView(name + "_now")
+    found = _read(spark, sf_dir, "customer").agg(F.min("c_mktsegment")).head()[0], _read(spark, sf_dir, "nation").agg(F.min(F.substring("n_name", 1, 5))).head()[0]
+    rows = validate.checked(spark, DOCUMENT, {"kind": found[0], "word": found[1]}, 300.0)
+    return rows.select("n", "parses", "runs", "rows", F.array_join("binds", ",").alias("binds"))
+
+
 IMPORTS = "i AS (SELECT 'n' || n_nationkey AS path, 'N' || (n_nationkey + 1) % 4 AS imported, 'N' || n_nationkey AS namespace FROM nation)"
 
 
