@@ -16,16 +16,18 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grapheon.llm.common import slices
 
 GOOD, BAD, NONE = 1, 0, 2
+LABELLERS = ("odd", "shout", "pairs", "mean", "repeated", "stops", "marked")
 BITS = 16
 PLAIN = bytes(range(128, 256)) + b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 \t\r\n.,"
 SCORES = "doc_id long, weak_label double, score double, keep boolean"
@@ -167,8 +169,23 @@ def _patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([pattern(t or "") for t in part.column(1).to_pylist()], pa.int32())], names=["code"])
 
 
-def quality_scores(docs: DataFrame, most: int = 3000, longest: int = 20_000, threshold: float = 0.5) -> DataFrame:
-    """doc_id, weak_label (posterior of the labellers), score, keep of each row of docs."""
+@dataclass(frozen=True)
+class Model:
+    """posteriors: of good, by pattern; accuracies: by labeller, see `accuracies`; share: of good documents; weights, bias: of the scorer."""
+
+    posteriors: dict[int, float]
+    accuracies: list[dict[str, float]]
+    share: float
+    weights: np.ndarray
+    bias: float
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """labeller, on_good, on_bad (shares of right votes) and votes (share of documents that it votes on)."""
+        rows = [(name, a["on_good"], a["on_bad"], a["votes"]) for name, a in zip(LABELLERS, self.accuracies, strict=True)]
+        return spark.createDataFrame(rows, "labeller string, on_good double, on_bad double, votes double")
+
+
+def fit(docs: DataFrame, most: int = 3000, longest: int = 20_000) -> Model:
     rows = _columns(docs)
     counts = {r["code"]: r["count"] for r in rows.mapInArrow(_patterns, "code int").groupBy("code").count().collect()}
     post = label_model(counts)
@@ -179,6 +196,13 @@ def quality_scores(docs: DataFrame, most: int = 3000, longest: int = 20_000, thr
     chosen = rows.filter(fits).join(F.broadcast(keys), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id")
     texts = [r["text"] for r in chosen.collect()]
     weights, bias = train(texts, np.array([post.get(pattern(t), 0.5) for t in texts]))
+    share = sum(n * post[c] for c, n in counts.items()) / max(1, sum(counts.values()))
+    return Model(post, accuracies(counts, post), share, weights, bias)
+
+
+def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """doc_id, weak_label (posterior of the labellers), score, keep of each row of docs."""
+    weights, bias, post = model.weights, model.bias, model.posteriors
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, voted = WordWeights(weights), {}
@@ -195,4 +219,9 @@ def quality_scores(docs: DataFrame, most: int = 3000, longest: int = 20_000, thr
             weak = [post.get(c, 0.5) for c in codes]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(weak, pa.float64()), pa.array(score), pa.array(score >= threshold)], names=["doc_id", "weak_label", "score", "keep"])
 
-    return rows.mapInArrow(run, SCORES)
+    return _columns(docs).mapInArrow(run, SCORES)
+
+
+def quality_scores(docs: DataFrame, most: int = 3000, longest: int = 20_000, threshold: float = 0.5) -> DataFrame:
+    """Fit on docs, and score them."""
+    return score(docs, fit(docs, most, longest), threshold)
