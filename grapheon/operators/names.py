@@ -59,3 +59,41 @@ def unique_aliases(entities: DataFrame, declarations: DataFrame) -> DataFrame:
     plain = F.regexp_replace(F.lower("name"), r"[^a-z0-9]", "")
     one = declarations.select("module", plain.alias("alias"), "key").filter("alias <> ''").groupBy("module", "alias").agg(F.min("key").alias("key"), F.max("key").alias("top")).filter("key = top").drop("top")
     return entities.select("entity", "module", plain.alias("alias")).join(one, ["module", "alias"]).select("entity", "key")
+
+
+#: Lengths of the grams that names are found by: a name's own are of the longest of these that it has.
+GRAMS = (1, 2, 3, 8)
+
+
+def _grams(text: Column, n: int) -> Column:
+    """Distinct grams of n characters; none of a shorter text."""
+    starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(n))))
+
+
+def resolve_names(elements: DataFrame, written: DataFrame) -> DataFrame:
+    """written, key, rung: what `resolve_name` gives, for each distinct name of `written` that means something; a null name means nothing.
+
+    elements: key, name, display, short_name, depth. The four rungs of equal names are one equi-join. For names that only a longer display contains, there is an index of
+    grams: a name of up to three characters is a gram, whose best element the index has; a longer one is tested against the elements with its rarest gram, and no others.
+    """
+    asked = written.select(F.col("written").cast("string").alias("written")).filter("written is not null").distinct()
+    forms = F.array(*(F.struct(F.lit(r).alias("rung"), c.alias("text")) for r, c in enumerate((F.col("written"), F.upper("written"), squashed(F.col("written")), F.lower("written")), 1)))
+    own = F.array(*(F.struct(F.lit(r).alias("rung"), c.alias("text")) for r, c in enumerate((F.col("name"), F.col("display"), F.col("display"), F.lower("short_name")), 1)))
+    equal = elements.select("key", "depth", F.explode(own).alias("f")).select("key", "depth", "f.*").filter("text is not null").groupBy("rung", "text").agg(F.min(F.struct("depth", "key")).alias("best"))
+    direct = asked.select("written", F.explode(forms).alias("f")).select("written", "f.*").join(equal, ["rung", "text"]).groupBy("written").agg(F.min(F.struct("rung", "best")).alias("x"))
+    direct = direct.select("written", F.col("x.best.key").alias("key"), F.col("x.rung").alias("rung"))
+
+    rest = asked.join(direct, "written", "left_anti").select("written", F.upper("written").alias("w"))
+    order = F.struct(F.length("display").alias("length"), "depth", "key")
+    shown = elements.filter("display is not null").select(F.upper("display").alias("u"), order.alias("order"))
+    index = shown.select("u", "order", F.explode(F.concat(*(F.transform(_grams(F.col("u"), n), lambda g: g) for n in GRAMS))).alias("gram"))
+    best = index.groupBy("gram").agg(F.count(F.lit(1)).alias("times"), F.min("order").alias("order"))
+    short = rest.filter(F.length("w").between(1, 3)).join(best, rest["w"] == best["gram"]).select("written", "order")
+    blank = rest.filter("w = ''").crossJoin(F.broadcast(shown.agg(F.min("order").alias("order"))))  # one row
+    longer = rest.filter(F.length("w") > 3).withColumn("grams", F.when(F.length("w") >= 8, _grams(F.col("w"), 8)).otherwise(_grams(F.col("w"), 3)))
+    held = longer.select("written", "w", F.size("grams").alias("n"), F.explode("grams").alias("gram")).join(best.select("gram", "times"), "gram")
+    rarest = held.groupBy("written", "w", "n").agg(F.count(F.lit(1)).alias("found"), F.min(F.struct("times", "gram")).alias("x")).filter("found = n").select("written", "w", F.col("x.gram").alias("gram"))
+    tested = rarest.join(index, "gram").filter(F.contains("u", F.col("w"))).groupBy("written").agg(F.min("order").alias("order"))
+    inside = short.unionByName(blank.filter("order is not null").select("written", "order")).unionByName(tested)
+    return direct.unionByName(inside.select("written", F.col("order.key").alias("key"), F.lit(5).alias("rung")))

@@ -206,6 +206,25 @@ def name_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.resolve_name(n, "NATION_7").select("key", "rung")
 
 
+@query("""WITH e AS (SELECT 'n' || n_nationkey AS key, n_name AS name, upper(n_name) AS display, 'N-' || n_nationkey AS short_name, 1 AS depth, n_nationkey AS k FROM nation
+ UNION ALL SELECT 'c' || c_custkey, c_name, upper(c_name) || '_' || c_mktsegment, 'C-' || c_custkey, 2, c_custkey FROM customer),
+ w AS (SELECT DISTINCT CASE k % 6 WHEN 0 THEN name WHEN 1 THEN lower(display) WHEN 2 THEN replace(lower(display), '_', ' ') WHEN 3 THEN lower(short_name) WHEN 4 THEN substr(display, 4) ELSE substr(name, 2, 12) || '?' END AS written FROM e),
+ r AS (SELECT written, key, depth, length(display) AS l, CASE WHEN name = written THEN 1 WHEN display = upper(written) THEN 2 WHEN display = replace(upper(written), ' ', '_') THEN 3 WHEN lower(short_name) = lower(written) THEN 4 WHEN contains(display, upper(written)) THEN 5 END AS rung FROM w, e)
+ SELECT written, key, rung FROM r WHERE rung IS NOT NULL QUALIFY ROW_NUMBER() OVER (PARTITION BY written ORDER BY rung, CASE WHEN rung = 5 THEN l ELSE 0 END, depth, key) = 1""", False)
+def names_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of all nations and customers, written in six ways, the last of which means nothing."""
+    k = F.col("k").cast("string")
+    n = _read(spark, sf_dir, "nation").select(F.lit("n").alias("kind"), F.col("n_nationkey").cast("long").alias("k"), F.col("n_name").alias("name"), F.upper("n_name").alias("display"), F.lit("N-").alias("s"), F.lit(1).alias("depth"))
+    c = _read(spark, sf_dir, "customer").select(F.lit("c").alias("kind"), F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.concat(F.upper("c_name"), F.lit("_"), "c_mktsegment").alias("display"), F.lit("C-").alias("s"), F.lit(2).alias("depth"))
+    e = n.unionByName(c).withColumns({"key": F.concat("kind", k), "short_name": F.concat("s", k)})
+    way = F.col("k") % 6
+    written = (
+        F.when(way == 0, F.col("name")).when(way == 1, F.lower("display")).when(way == 2, F.replace(F.lower("display"), F.lit("_"), F.lit(" "))).when(way == 3, F.lower("short_name"))
+        .when(way == 4, F.substring("display", 4, 1000)).otherwise(F.concat(F.substring("name", 2, 12), F.lit("?")))
+    )
+    return names.resolve_names(e, e.select(written.alias("written"))).select("written", "key", "rung")
+
+
 @query("WITH a AS (SELECT 's' || s_suppkey AS entity, n_name AS name FROM supplier JOIN nation ON n_nationkey = s_nationkey), d AS (SELECT 'n' || n_nationkey AS key, n_name AS name FROM nation UNION ALL SELECT 'r' || r_regionkey, r_name FROM region),"
        " o AS (SELECT regexp_replace(lower(name), '[^a-z0-9]', '', 'g') AS alias, MIN(key) AS key FROM d GROUP BY 1 HAVING COUNT(DISTINCT key) = 1) SELECT entity, key FROM a JOIN o ON alias = regexp_replace(lower(name), '[^a-z0-9]', '', 'g')", False)
 def unique_alias_links(spark: SparkSession, sf_dir: str) -> DataFrame:
