@@ -111,8 +111,8 @@ def shared_symbols(s, a, b):
 
 
 @pytest.mark.parametrize(("symbols", "period"), [(3, 0), (3, 37), (200, 0), (200, 150), (1, 0)])
-def test_names_by_digits_and_prefixes_by_the_recurrence(symbols, period):
-    """Few names at a time, so that each level goes by digits; long repeats, so that prefixes reach the bound."""
+def test_many_names_and_prefixes_by_the_recurrence(symbols, period):
+    """Few names at a time, so that each level has many; long repeats, so that prefixes reach the bound."""
     rng = np.random.default_rng(symbols + period)
     s = rng.integers(1, symbols + 1, 900)
     if period:
