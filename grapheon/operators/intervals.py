@@ -30,39 +30,45 @@ def _before(rows: DataFrame, by: str, order: str, size: str) -> DataFrame:
     return within.join(held, [by, "_part"]).withColumn("before", F.col("_base") + F.col("_in")).drop("_part", "_base", "_in")
 
 
-def nodes(elements: DataFrame, cross: DataFrame) -> DataFrame:
-    """key, owner of all elements, and of ends of edges that are no element: these own nothing, and nothing owns them."""
-    ends = cross.select(F.explode(F.array("src", "dst")).alias("key")).distinct()
-    return elements.select("key", "owner").unionByName(ends.select("key", F.lit(None).cast("string").alias("owner"))).groupBy("key").agg(F.max("owner").alias("owner"))
-
-
 def intervals(elements: DataFrame, most: int = 64) -> DataFrame:
     """key, depth, pre, post. elements: key (each once), owner (null, or of no element: a root).
 
-    One round a level to find the levels, then sizes from the lowest level up and numbers from the highest down. Elements whose owners form a circle have no number.
+    Only elements that own something are taken level by level: one round a level to find the levels, then sizes from the lowest level up and numbers from the highest
+    down. The others are counted, and numbered after their owner's owning children, in one go. Elements whose owners form a circle have no number.
     """
     nodes = cut(elements.select("key", "owner"))
-    rooted = nodes.join(nodes.select(F.col("key").alias("owner")), "owner", "left_anti").select("key", F.lit("").alias("owner"))
-    levels = [cut(rooted)]
+    held = nodes.filter("owner is not null").groupBy(F.col("owner").alias("key")).agg(F.count(F.lit(1)).alias("children"))
+    # a root's owner is blank
+    known = nodes.join(nodes.select(F.col("key").alias("owner"), F.lit(True).alias("known")), "owner", "left").select("key", F.when(F.col("known"), F.col("owner")).otherwise("").alias("owner"))
+    marked = cut(known.join(held, "key", "left"))
+    owning, alone = marked.filter("children is not null").select("key", "owner"), marked.filter("children is null").select("key", "owner")
+    leaves = alone.groupBy(F.col("owner").alias("key")).agg(F.count(F.lit(1)).alias("leaves"))
+    inner = cut(owning.join(leaves, "key", "left").select("key", "owner", F.coalesce("leaves", F.lit(0)).alias("leaves")))
+    levels = [inner.filter("owner = ''")]
     while len(levels) <= most:
-        below = cut(nodes.join(levels[-1].select(F.col("key").alias("owner")), "owner").select("key", "owner"))
+        below = cut(inner.join(levels[-1].select(F.col("key").alias("owner")), "owner").select("key", "owner", "leaves"))
         if below.isEmpty():
             break
         levels.append(below)
     else:
         raise RuntimeError(f"ownership is deeper than {most}")
-    sized = [levels[-1].withColumn("size", F.lit(1).cast("long"))]
+    sized = [levels[-1].select("key", "owner", F.lit(0).cast("long").alias("inside"), (1 + F.col("leaves")).alias("size"))]
     for level in reversed(levels[:-1]):
-        held = sized[0].groupBy(F.col("owner").alias("key")).agg(F.sum("size").alias("below"))
-        sized.insert(0, cut(level.join(held, "key", "left").select("key", "owner", (1 + F.coalesce("below", F.lit(0))).alias("size"))))
+        under = sized[0].groupBy(F.col("owner").alias("key")).agg(F.sum("size").alias("under"))
+        sized.insert(0, cut(level.join(under, "key", "left").withColumn("inside", F.coalesce("under", F.lit(0))).select("key", "owner", "inside", (1 + F.col("inside") + F.col("leaves")).alias("size"))))
     numbered = []
     for depth, level in enumerate(sized):
         placed = _before(level, "owner", "key", "size")
         if depth:
             placed = placed.join(numbered[-1].select(F.col("key").alias("owner"), (F.col("pre") + 1).alias("_first")), "owner").withColumn("before", F.col("_first") + F.col("before"))
-        placed = placed.select("key", F.lit(depth).alias("depth"), F.col("before").alias("pre"), (F.col("before") + F.col("size") - 1).alias("post"))
+        placed = placed.select("key", F.lit(depth).alias("depth"), F.col("before").alias("pre"), (F.col("before") + F.col("size") - 1).alias("post"), "inside")
         numbered.append(cut(placed) if depth % 4 == 3 else placed)
-    return cut(reduce(DataFrame.unionByName, numbered))
+    owners = cut(reduce(DataFrame.unionByName, numbered))
+    rooted = owners.filter("depth = 0").agg(F.coalesce(F.max("post") + 1, F.lit(0)).alias("_first")).select(F.lit("").alias("owner"), F.lit(-1).alias("depth"), "_first")
+    first = owners.select(F.col("key").alias("owner"), "depth", (F.col("pre") + 1 + F.col("inside")).alias("_first")).unionByName(rooted)
+    last = _before(alone.withColumn("size", F.lit(1).cast("long")), "owner", "key", "size").join(first, "owner")
+    ends = last.select("key", (F.col("depth") + 1).alias("depth"), (F.col("_first") + F.col("before")).alias("pre"))
+    return cut(owners.drop("inside").unionByName(ends.withColumn("post", F.col("pre"))))
 
 
 def _levels(top: int) -> int:
@@ -131,17 +137,18 @@ def reach(roots: DataFrame, numbered: DataFrame, cross: DataFrame, most: int = 6
     """root, entry, pre, post: ranges that together are what each root reaches over ownership and the edges `cross` (src, dst); they don't overlap.
 
     A root, and each target of a cross edge, is an entry. An entry leads to the targets of the edges that leave its range; the walk is over these. An entry that
-    lies inside another of the same root adds nothing, and goes.
+    lies inside another of the same root adds nothing, and goes. An end that is no element is an entry of its own, numbered -1.
     """
     top = numbered.agg(F.coalesce(F.max("post"), F.lit(0))).head()[0]
     edges = cut(cross.select("src", "dst").distinct())
-    entries = cut(roots.select(F.col("root").alias("entry")).unionByName(edges.select(F.col("dst").alias("entry"))).distinct().join(numbered.select(F.col("key").alias("entry"), "pre", "post"), "entry"))
+    named = roots.select(F.col("root").alias("entry")).unionByName(edges.select(F.col("dst").alias("entry"))).distinct()
+    none = F.lit(-1).cast("long")
+    entries = cut(named.join(numbered.select(F.col("key").alias("entry"), "pre", "post"), "entry", "left").select("entry", F.coalesce("pre", none).alias("pre"), F.coalesce("post", none).alias("post")))
+    inner, outer = entries.filter("pre >= 0"), entries.filter("pre < 0")
     leaving = edges.select(F.col("src").alias("node")).distinct().join(numbered.select(F.col("key").alias("node"), "pre"), "node")
-    steps = covering(leaving, entries, top).join(edges.withColumnRenamed("src", "node"), "node").select(F.col("entry").alias("src"), "dst").distinct()
-    reached = walk(roots, steps, most).select("root", F.col("node").alias("entry"))
-    inside = cut(covering(entries.select(F.col("entry").alias("node"), "pre"), entries, top).filter("entry <> node"))
-    if not inside.isEmpty():
-        reached = cut(reached)
-        nested = reached.join(inside, "entry").select("root", F.col("node").alias("entry"))
-        reached = reached.join(nested, ["root", "entry"], "left_anti")
-    return reached.join(entries, "entry").select("root", "entry", "pre", "post")
+    steps = covering(leaving, inner, top).join(edges.withColumnRenamed("src", "node"), "node").select(F.col("entry").alias("src"), "dst")
+    direct = edges.join(outer.select(F.col("entry").alias("src")), "src")
+    reached = walk(roots, steps.unionByName(direct), most).select("root", F.col("node").alias("entry"))
+    inside = covering(inner.select(F.col("entry").alias("node"), "pre"), inner.filter("post > pre"), top).filter("entry <> node")
+    nested = reached.join(inside, "entry").select("root", F.col("node").alias("entry"))
+    return reached.join(nested, ["root", "entry"], "left_anti").join(entries, "entry").select("root", "entry", "pre", "post")

@@ -22,11 +22,10 @@ def display_names(elements: DataFrame, group: str = "module", depth: int = 8) ->
     for d in range(1, depth + 1):
         suffix = F.concat_ws("_", F.slice(segments, F.greatest(F.size(segments) - d + 1, F.lit(1)), d))
         out = out.withColumn(f"_s{d}", suffix)
-    # one explode and one aggregate for all depths; groupBy combines before the shuffle
-    suffixes = out.select(group, F.posexplode(F.array(*(F.col(f"_s{d}") for d in range(1, depth + 1)))).alias("d", "suffix"))
-    lone = suffixes.groupBy(group, "d", "suffix").agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select(group, "d", "suffix")
-    held = out.select("key", group, F.posexplode(F.array(*(F.col(f"_s{d}") for d in range(1, depth + 1)))).alias("d", "suffix"))
-    best = held.join(lone, [group, "d", "suffix"]).groupBy("key").agg(F.min(F.struct("d", "suffix")).alias("x")).select("key", F.col("x.suffix").alias("_lone"))
+    # one explode and one aggregate for all depths: a suffix that one element has comes with its key; groupBy combines before the shuffle
+    suffixes = out.select("key", group, F.posexplode(F.array(*(F.col(f"_s{d}") for d in range(1, depth + 1)))).alias("d", "suffix"))
+    lone = suffixes.groupBy(group, "d", "suffix").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("key")).filter("n = 1")
+    best = lone.groupBy("key").agg(F.min(F.struct("d", "suffix")).alias("x")).select("key", F.col("x.suffix").alias("_lone"))
     full = F.regexp_replace("qualified", "::", "_")
     numbered = F.row_number().over(Window.partitionBy(group, "qualified").orderBy("key"))
     joined = out.join(best, "key", "left").withColumn("_n", numbered)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from grapheon.operators import similarity
 from grapheon.operators.search import bm25, cosine, cosine_top, fuse
+from grapheon.plans.lineage import cut
 
 #: Reports less similar to the question than this say nothing about it; calls of the embedding service take so many texts.
 FLOOR, BATCH = 0.25, 64
@@ -35,7 +36,10 @@ def hybrid(rows: DataFrame, query: Sequence[float], words: Sequence[str], k: int
 
 def local(entities: DataFrame, relations: DataFrame, query: Sequence[float], words: Sequence[str], k: int = 5) -> DataFrame:
     """The k entities that match, and the relations (key, src, dst) that touch them; a relation has the score of its best end."""
-    found = hybrid(entities, query, words, k)
+    return _with_relations(cut(hybrid(entities, query, words, k)), relations)
+
+
+def _with_relations(found: DataFrame, relations: DataFrame) -> DataFrame:
     hits = found.select(F.col("key").alias("end"), "rrf")
     ends = relations.select("key", F.explode(F.array_distinct(F.array("src", "dst"))).alias("end"))
     touched = ends.join(F.broadcast(hits), "end").groupBy("key").agg(F.max("rrf").alias("rrf"))  # k rows
@@ -50,8 +54,10 @@ def reports(rows: DataFrame, query: Sequence[float], k: int = 5, floor: float =
 
 def unified(entities: DataFrame, relations: DataFrame, chunks: DataFrame, query: Sequence[float], words: Sequence[str], k: int = 5) -> DataFrame:
     """Chunks of text and the entity graph, searched side by side: a fact that no entity's name resembles is found in the text."""
-    text = hybrid(chunks, query, words, k).select(F.lit("chunk").alias("what"), F.col("key").cast("string").alias("key"), F.col("rrf").alias("score"))
-    return local(entities, relations, query, words, k).unionByName(text)
+    found = cut(hybrid(entities, query, words, k))  # k rows
+    read = found if chunks is entities else hybrid(chunks, query, words, k)
+    text = read.select(F.lit("chunk").alias("what"), F.col("key").cast("string").alias("key"), F.col("rrf").alias("score"))
+    return _with_relations(found, relations).unionByName(text)
 
 
 def similar_within(rows: DataFrame, k: int = 3, counter=None) -> DataFrame:

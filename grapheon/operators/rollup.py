@@ -24,7 +24,7 @@ def by_unit(reached: DataFrame, elements: DataFrame, *by: str) -> DataFrame:
 
 def by_unit_below(roots: DataFrame, elements: DataFrame, cross: DataFrame) -> DataFrame:
     """root, unit, total, n of all that each root reaches over ownership and the edges `cross`: prefix differences of ranges, no row for each element below a root. elements: key, owner, unit, num."""
-    numbered = intervals.intervals(intervals.nodes(elements, cross))
+    numbered = intervals.intervals(elements)
     ranges = cut(intervals.reach(roots, numbered, cross))
     held = intervals.below(ranges.select("entry", "pre", "post").distinct(), numbered, elements.filter("num is not null").select("key", "unit", "num"))
     sums = ranges.select("root", "entry").join(held, "entry").groupBy("root", "unit").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
@@ -33,7 +33,7 @@ def by_unit_below(roots: DataFrame, elements: DataFrame, cross: DataFrame) -> Da
 
 def sizes_below(roots: DataFrame, elements: DataFrame, cross: DataFrame) -> DataFrame:
     """root, size: how many elements each root reaches over ownership and the edges `cross`, itself left out."""
-    numbered = intervals.intervals(intervals.nodes(elements, cross))
+    numbered = intervals.intervals(elements)
     ranges = intervals.reach(roots, numbered, cross)
     return ranges.groupBy("root").agg((F.sum(F.col("post") - F.col("pre") + 1) - 1).alias("size")).filter("size > 0")
 

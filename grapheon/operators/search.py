@@ -39,7 +39,7 @@ def bm25(docs: DataFrame, words: Sequence[str], k: int, key: str = "doc_id", tex
     words = sorted({w.lower() for w in words})
     split = docs.select(key, F.filter(F.split(F.lower(text), r"[^a-z0-9]+"), lambda t: t != "").alias("_terms"))  # once for all words
     terms = F.col("_terms")
-    counts = split.select(key, F.size(terms).alias("length"), *((F.size(terms) - F.size(F.array_remove(terms, w))).alias(f"tf{i}") for i, w in enumerate(words)))
+    counts = cut(split.select(key, F.size(terms).alias("length"), *((F.size(terms) - F.size(F.array_remove(terms, w))).alias(f"tf{i}") for i, w in enumerate(words))))  # a few numbers a row, read twice
     stats = counts.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), *(F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(words))))
     joined = counts.crossJoin(F.broadcast(stats))  # one row of statistics
     score = F.lit(0.0)

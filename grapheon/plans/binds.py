@@ -26,7 +26,7 @@ def richest(elements: DataFrame, cross: DataFrame) -> DataFrame:
     """
     children = elements.filter("owner is not null").groupBy(F.col("owner").alias("key")).agg(F.count(F.lit(1)).alias("children"))
     roots = cut(elements.filter(F.col("kind").isin(*ROOT_KINDS)).join(children.filter("children > 1"), "key").select(F.col("key").alias("root")))
-    numbered = intervals.intervals(intervals.nodes(elements, cross))
+    numbered = intervals.intervals(elements)
     ranges = cut(intervals.reach(roots, numbered, cross))
     numbers = elements.filter("num is not null and attribute is not null").select("key", F.col("attribute").alias("unit"), "num")
     held = intervals.below(ranges.select("entry", "pre", "post").distinct(), numbered, numbers)

@@ -368,4 +368,4 @@ def notation_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("owner", F.col("attributes")["code"]["num"].alias("num"), F.col("attributes")["code"]["unit"].alias("unit"))
 
 
-from grapheon import queries_more, queries_notation, queries_survey  # noqa: E402, F401  they register their queries here
+from grapheon import queries_more, queries_survey  # noqa: E402, F401  they register their queries here

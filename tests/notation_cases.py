@@ -6,7 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grapheon.notation import model as notation
-from grapheon.registry import _read, query
+from grapheon.registry import _read
+
+#: A query and the SQL of its rows, by name.
+CASES = {}
+
+
+def query(sql, _prelude):
+    def add(f):
+        CASES[f.__name__] = f, sql
+        return f
+
+    return add
 
 VOCABULARY = """package Plant {
     private import Units::*;
@@ -70,10 +81,10 @@ def notation_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("module", plain("src").alias("src"), plain("dst").alias("dst"), F.col("detail")["branch"].alias("branch"))
 
 
-WRITTEN = [("Plant", "imports", "Units::*", True), ("Plant::Cycle", "startsAt", "start", True), ("Plant::Cycle::if@19", "guardedBy", "full", True)]
+WRITTEN = [("Plant::Cycle", "startsAt", "start", True), ("Plant::Cycle::if@19", "guardedBy", "full", True)]
 
 
-@query(_values("src, label, written, external", WRITTEN[1:]), False)
+@query(_values("src, label, written, external", WRITTEN), False)
 def notation_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """References that mean nothing here."""
     found = notation.unresolved(notation.relations(notation.declarations(sources(spark, sf_dir))))
