@@ -114,7 +114,11 @@ def below(ranges: DataFrame, numbered: DataFrame, values: DataFrame) -> DataFram
     Numbers are dense, so a part of WIDTH of them has so many rows at most; the sums of parts are short.
     """
     unit = F.coalesce(F.concat(F.lit("u"), "unit"), F.lit(""))  # a null unit is one of its own
-    rows = values.select("key", unit.alias("unit"), F.col("num").cast(MONEY).alias("num")).join(numbered.select("key", "pre"), "key").select("unit", "pre", "num", F.lit(1).cast("long").alias("n"))
+    given = values.select("key", unit.alias("unit"), F.col("num").cast(MONEY).alias("num"))
+    # a range of one number is its element
+    single = ranges.filter("pre = post").select("entry").join(given.withColumnRenamed("key", "entry"), "entry").groupBy("entry", "unit").agg(F.sum("num").alias("total"), F.count(F.lit(1)).alias("n"))
+    ranges = ranges.filter("pre < post")
+    rows = cut(given.join(numbered.select("key", "pre"), "key").select("unit", "pre", "num", F.lit(1).cast("long").alias("n")))
     units = F.broadcast(rows.agg(F.collect_set("unit").alias("units")))  # one row: the vocabulary of units
     edges = ranges.select("entry", F.explode(F.array(F.struct((F.col("pre") - 1).alias("at"), F.lit(-1).alias("sign")), F.struct(F.col("post").alias("at"), F.lit(1).alias("sign")))).alias("e"))
     asked = edges.select("entry", "e.at", "e.sign").filter("at >= 0").crossJoin(units).withColumn("unit", F.explode("units")).drop("units")
@@ -129,7 +133,7 @@ def below(ranges: DataFrame, numbered: DataFrame, values: DataFrame) -> DataFram
     earlier = Window.partitionBy("unit").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = parts.groupBy("unit", "part").agg(F.sum("total").alias("t"), F.sum("count").alias("c")).select("unit", "part", F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("base_total"), F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("base_count"))
     whole = sums.join(base, ["unit", "part"]).select("entry", "unit", ((F.col("total") + F.col("base_total")) * F.col("sign")).alias("t"), ((F.col("count") + F.col("base_count")) * F.col("sign")).alias("c"))
-    found = whole.groupBy("entry", "unit").agg(F.sum("t").alias("total"), F.sum("c").alias("n")).filter("n > 0")
+    found = whole.groupBy("entry", "unit").agg(F.sum("t").alias("total"), F.sum("c").alias("n")).filter("n > 0").unionByName(single)
     return found.select("entry", F.when(F.col("unit") != "", F.expr("substring(unit, 2)")).alias("unit"), "total", "n")
 
 
@@ -140,7 +144,7 @@ def reach(roots: DataFrame, numbered: DataFrame, cross: DataFrame, most: int = 6
     lies inside another of the same root adds nothing, and goes. An end that is no element is an entry of its own, numbered -1.
     """
     top = numbered.agg(F.coalesce(F.max("post"), F.lit(0))).head()[0]
-    edges = cut(cross.select("src", "dst").distinct())
+    edges = cut(cross.select("src", "dst"))  # repeats do no harm
     named = roots.select(F.col("root").alias("entry")).unionByName(edges.select(F.col("dst").alias("entry"))).distinct()
     none = F.lit(-1).cast("long")
     entries = cut(named.join(numbered.select(F.col("key").alias("entry"), "pre", "post"), "entry", "left").select("entry", F.coalesce("pre", none).alias("pre"), F.coalesce("post", none).alias("post")))
