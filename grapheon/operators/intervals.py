@@ -17,6 +17,8 @@ from grapheon.plans.lineage import cut
 
 #: Parts of the children of one owner; numbers in a tile of the next level; numbers of a part of prefix sums.
 PARTS, BASE, WIDTH = 32, 32, 1 << 16
+#: Ranges that are broadcast: a few kilobytes.
+FEW = 256
 MONEY = "decimal(18,2)"
 
 
@@ -100,12 +102,20 @@ def _tiles(pre: Column, post: Column, levels: int) -> Column:
     return F.concat(*out)
 
 
-def covering(points: DataFrame, ranges: DataFrame, top: int) -> DataFrame:
-    """entry, node: each range with the points that it holds, once. points: node, pre; ranges: entry, pre, post; top: the largest number."""
+def covering(points: DataFrame, ranges: DataFrame, top: int, few: int = FEW) -> DataFrame:
+    """entry, node: each range with the points that it holds, once. points: node, pre; ranges: entry, pre, post; top: the largest number.
+
+    A range of one number is an equi-join. Up to `few` wider ranges, which are counted, are broadcast; more of them are joined by tiles.
+    """
+    one, wide = ranges.filter("pre = post"), ranges.filter("pre < post")
+    single = one.select("entry", "pre").join(points, "pre").select("entry", "node")
+    if wide.count() <= few:
+        inside = points.join(F.broadcast(wide.select("entry", F.col("pre").alias("_a"), F.col("post").alias("_b"))), F.col("pre").between(F.col("_a"), F.col("_b")))
+        return single.unionByName(inside.select("entry", "node"))
     levels = _levels(top)
     at = points.select("node", F.explode(F.array(*(F.struct(F.lit(n).alias("level"), _div(F.col("pre"), BASE**n).alias("tile")) for n in range(levels)))).alias("t"))
-    held = ranges.select("entry", F.explode(_tiles(F.col("pre"), F.col("post"), levels)).alias("t"))
-    return held.select("entry", "t.level", "t.tile").join(at.select("node", "t.level", "t.tile"), ["level", "tile"]).select("entry", "node")
+    held = wide.select("entry", F.explode(_tiles(F.col("pre"), F.col("post"), levels)).alias("t"))
+    return single.unionByName(held.select("entry", "t.level", "t.tile").join(at.select("node", "t.level", "t.tile"), ["level", "tile"]).select("entry", "node"))
 
 
 def below(ranges: DataFrame, numbered: DataFrame, values: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ def walk(roots: DataFrame, edges: DataFrame, most: int = 8, least: int = 0, dire
     roots: column root. All roots walk in one job: the frontier is keyed by (root, node), so its growth is spread by both. Each level is
     one join with the edges and one anti-join with what is visited; a checkpoint ends it, and an empty frontier ends the walk.
     """
-    steps = cut(directed(edges, direction).distinct().withColumnRenamed("src", "node"))  # once, not at each level
+    steps = cut(directed(edges, direction).withColumnRenamed("src", "node"))  # once, not at each level; what is reached twice is made one below
     seen = frontier = roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")).distinct()
     for depth in range(1, most + 1):
         reached = frontier.select("root", "node").join(steps, "node").select("root", F.col("dst").alias("node")).distinct()

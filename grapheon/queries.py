@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from grapheon.functions import scalar
 from grapheon.notation import model as notation
-from grapheon.operators import mutate, names, rollup, search, traverse
+from grapheon.operators import intervals, mutate, names, rollup, search, traverse
 from grapheon.plans.graph import COMPOSITION, Graph
 from grapheon.registry import BM25_SQL, ORACLE_SQL, QUERIES, TOTAL, _graph, _read, query  # noqa: F401  the dicts are read from here
 from grapheon.streaming.transitions import transitions
@@ -20,10 +20,21 @@ def _roots(g: Graph, kind: str = "region/") -> DataFrame:
 @query("WITH RECURSIVE {graph}, walk AS (SELECT key AS root, key AS node FROM elements WHERE kind = 'package' UNION SELECT w.root, e.dst FROM walk w JOIN edges e ON e.src = w.node AND e.label IN ('owns', 'typedBy'))"
        " SELECT root, unit, " + TOTAL.format(c="num") + " AS total, COUNT(*) AS n FROM walk JOIN elements ON key = node WHERE num IS NOT NULL GROUP BY root, unit")
 def composition_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals by unit of everything below each package, on the interval index."""
+    """Totals by unit of everything below each package."""
     g = _graph(spark, sf_dir)
     roots = g.elements.filter("kind = 'package'").select(F.col("key").alias("root"))
-    return rollup.by_unit_below(roots, g.elements, g.labelled(*COMPOSITION[1:]))
+    return rollup.by_unit(traverse.walk(roots, g.labelled(*COMPOSITION)), g.elements, "root")
+
+
+@query("WITH RECURSIVE {graph}, walk AS (SELECT key AS root, key AS node FROM elements UNION SELECT w.root, e.dst FROM walk w JOIN edges e ON e.src = w.node AND e.label = 'owns'), s AS (SELECT root, COUNT(*) - 1 AS size FROM walk GROUP BY root HAVING COUNT(*) > 1)"
+       " SELECT root, size, unit, " + TOTAL.format(c="num") + " AS total, COUNT(*) AS n FROM walk JOIN s USING (root) JOIN elements ON key = node WHERE num IS NOT NULL GROUP BY root, size, unit")
+def owned_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every element that owns any: how many it owns over all levels, and their totals with its own, by unit, from the interval index."""
+    g = _graph(spark, sf_dir)
+    numbered = intervals.intervals(g.elements)
+    ranges = numbered.filter("post > pre").select(F.col("key").alias("entry"), "pre", "post")
+    totals = intervals.below(ranges, numbered, g.elements.filter("num is not null").select("key", "unit", "num"))
+    return totals.join(ranges, "entry").select(F.col("entry").alias("root"), (F.col("post") - F.col("pre")).alias("size"), "unit", F.col("total").cast("double").alias("total"), "n")
 
 
 @query("WITH RECURSIVE {graph}, walk AS (SELECT key AS root, key AS node, 0 AS depth FROM elements WHERE key LIKE 'region/%' UNION SELECT w.root, e.dst, w.depth + 1 FROM walk w JOIN edges e ON e.src = w.node AND e.label = 'owns')"
@@ -44,7 +55,7 @@ def walk_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
        " SELECT root, COUNT(*) - 1 AS size FROM walk GROUP BY root HAVING COUNT(*) > 1 ORDER BY size DESC, root LIMIT 10")
 def subtree_size_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = _graph(spark, sf_dir)
-    return rollup.sizes_below(_roots(g, "nation/"), g.elements, g.labelled(*COMPOSITION[1:])).orderBy(F.desc("size"), "root").limit(10)
+    return traverse.subtree_sizes(_roots(g, "nation/"), g.labelled(*COMPOSITION)).orderBy(F.desc("size"), "root").limit(10)
 
 
 @query("WITH RECURSIVE {graph}, up AS (SELECT key AS root, key AS node, 0 AS depth FROM elements WHERE kind = 'part' UNION SELECT root, e.src, depth + 1 FROM up JOIN edges e ON e.dst = node AND e.label = 'owns') SELECT root, node, depth FROM up WHERE depth > 0")
@@ -92,7 +103,7 @@ def unsatisfied(spark: SparkSession, sf_dir: str) -> DataFrame:
 def composition_rollup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals by unit of everything below each region."""
     g = _graph(spark, sf_dir)
-    return rollup.by_unit_below(_roots(g), g.elements, g.labelled(*COMPOSITION[1:]))
+    return rollup.by_unit(traverse.walk(_roots(g), g.labelled(*COMPOSITION)), g.elements, "root")
 
 
 @query("WITH RECURSIVE {graph}, up AS (SELECT key AS root, key AS node, 0 AS depth FROM elements WHERE key LIKE 'order/%' UNION SELECT root, e.src, depth + 1 FROM up JOIN edges e ON e.dst = node AND e.label = 'owns') SELECT root, node, depth FROM up WHERE depth > 0")

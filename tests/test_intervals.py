@@ -50,12 +50,13 @@ def test_too_deep_is_an_error(spark):
     assert intervals.intervals(spark.createDataFrame([], "key string, owner string")).count() == 0
 
 
+@pytest.mark.parametrize("few", [0, 100])
 @pytest.mark.parametrize("top", [0, 31, 32, 1500, 40_000])
-def test_covering_gives_each_pair_once(spark, top):
+def test_covering_gives_each_pair_once(spark, top, few):
     rng = random.Random(top)
     ranges = [tuple(sorted((rng.randint(0, top), rng.randint(0, top)))) for _ in range(60)] + [(0, top), (top, top), (0, 0)]
     points = [rng.randint(0, top) for _ in range(80)] + [0, top]
-    got = intervals.covering(spark.createDataFrame(list(enumerate(points)), "node int, pre long"), spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(ranges)], "entry int, pre long, post long"), top)
+    got = intervals.covering(spark.createDataFrame(list(enumerate(points)), "node int, pre long"), spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(ranges)], "entry int, pre long, post long"), top, few)
     assert sorted((r.entry, r.node) for r in got.collect()) == sorted((i, j) for i, (a, b) in enumerate(ranges) for j, p in enumerate(points) if a <= p <= b)
 
 
