@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from grapheon.llm.common import cut, lean, shared_folder, slices
 
 #: Bytes of text in a shard; distinct terms in a wave of queries; bytes of a text that are split at once.
-SHARD_BYTES, WAVE_TERMS, PIECE_BYTES = 8_000_000, 1 << 19, 4_000_000
+SHARD_BYTES, WAVE_TERMS, PIECE_BYTES = 4_000_000, 1 << 19, 4_000_000
 #: Terms are the runs of ASCII letters and digits and of all that isn't ASCII; only A to Z are lowered. In UTF-8 no other character holds ASCII bytes.
 TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256))
 INDEX = "documents long, terms long, ids array<long>, words array<string>, offsets array<int>, places array<int>, impacts array<int>"
