@@ -80,19 +80,22 @@ def resolve_names(elements: DataFrame, written: DataFrame) -> DataFrame:
     forms = F.array(*(F.struct(F.lit(r).alias("rung"), c.alias("text")) for r, c in enumerate((F.col("written"), F.upper("written"), squashed(F.col("written")), F.lower("written")), 1)))
     own = F.array(*(F.struct(F.lit(r).alias("rung"), c.alias("text")) for r, c in enumerate((F.col("name"), F.col("display"), F.col("display"), F.lower("short_name")), 1)))
     equal = elements.select("key", "depth", F.explode(own).alias("f")).select("key", "depth", "f.*").filter("text is not null").groupBy("rung", "text").agg(F.min(F.struct("depth", "key")).alias("best"))
-    direct = asked.select("written", F.explode(forms).alias("f")).select("written", "f.*").join(equal, ["rung", "text"]).groupBy("written").agg(F.min(F.struct("rung", "best")).alias("x"))
+    # what is exploded is many times its table, which the planner can't see: no join may broadcast it
+    wide = lambda df: df.hint("merge")
+    direct = asked.select("written", F.explode(forms).alias("f")).select("written", "f.*").join(wide(equal), ["rung", "text"]).groupBy("written").agg(F.min(F.struct("rung", "best")).alias("x"))
     direct = direct.select("written", F.col("x.best.key").alias("key"), F.col("x.rung").alias("rung"))
 
-    rest = asked.join(direct, "written", "left_anti").select("written", F.upper("written").alias("w"))
+    rest = asked.join(wide(direct), "written", "left_anti").select("written", F.upper("written").alias("w"))
     order = F.struct(F.length("display").alias("length"), "depth", "key")
     shown = elements.filter("display is not null").select(F.upper("display").alias("u"), order.alias("order"))
-    index = shown.select("u", "order", F.explode(F.concat(*(F.transform(_grams(F.col("u"), n), lambda g: g) for n in GRAMS))).alias("gram"))
-    best = index.groupBy("gram").agg(F.count(F.lit(1)).alias("times"), F.min("order").alias("order"))
-    short = rest.filter(F.length("w").between(1, 3)).join(best, rest["w"] == best["gram"]).select("written", "order")
+    index = lambda *lengths: shown.select("u", "order", F.explode(F.concat(*(_grams(F.col("u"), n) for n in lengths))).alias("gram"))
+    best = index(*GRAMS).groupBy("gram").agg(F.count(F.lit(1)).alias("times"), F.min("order").alias("order"))
+    short = rest.filter(F.length("w").between(1, 3)).join(wide(best), rest["w"] == best["gram"]).select("written", "order")
     blank = rest.filter("w = ''").crossJoin(F.broadcast(shown.agg(F.min("order").alias("order"))))  # one row
     longer = rest.filter(F.length("w") > 3).withColumn("grams", F.when(F.length("w") >= 8, _grams(F.col("w"), 8)).otherwise(_grams(F.col("w"), 3)))
-    held = longer.select("written", "w", F.size("grams").alias("n"), F.explode("grams").alias("gram")).join(best.select("gram", "times"), "gram")
+    held = wide(longer.select("written", "w", F.size("grams").alias("n"), F.explode("grams").alias("gram"))).join(wide(best.select("gram", "times")), "gram")
     rarest = held.groupBy("written", "w", "n").agg(F.count(F.lit(1)).alias("found"), F.min(F.struct("times", "gram")).alias("x")).filter("found = n").select("written", "w", F.col("x.gram").alias("gram"))
-    tested = rarest.join(index, "gram").filter(F.contains("u", F.col("w"))).groupBy("written").agg(F.min("order").alias("order"))
+    # only grams of the lengths that longer names are found by
+    tested = wide(rarest).join(wide(index(*GRAMS[2:])), "gram").filter(F.contains("u", F.col("w"))).groupBy("written").agg(F.min("order").alias("order"))
     inside = short.unionByName(blank.filter("order is not null").select("written", "order")).unionByName(tested)
     return direct.unionByName(inside.select("written", F.col("order.key").alias("key"), F.lit(5).alias("rung")))
