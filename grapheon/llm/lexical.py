@@ -27,6 +27,8 @@ from grapheon.llm.common import cut, lean, shared_folder, slices
 SHARD_BYTES, WAVE_TERMS, PIECE_BYTES = 4_000_000, 1 << 19, 4_000_000
 #: Terms are the runs of ASCII letters and digits and of all that isn't ASCII; only A to Z are lowered. In UTF-8 no other character holds ASCII bytes.
 TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256))
+#: Parquet counts a row group's bytes only every 100 rows, and Spark reads up to 4096 rows of one at once: a shard is a row, so a row group is to hold few.
+GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
 INDEX = "documents long, terms long, ids array<long>, words array<string>, offsets array<int>, places array<int>, impacts array<int>"
 
 
@@ -137,7 +139,7 @@ def write_index(docs: DataFrame, path: str, text: str = "text", key: str = "doc_
         if texts:
             yield made()
 
-    rows.mapInArrow(lean(run), INDEX).write.mode("overwrite").parquet(path)
+    rows.mapInArrow(lean(run), INDEX).write.mode("overwrite").options(**GROUPS).parquet(path)
 
 
 def term_lists(queries: DataFrame, text: str = "text", key: str = "item_id") -> DataFrame:

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from grapheon.llm import lexical
@@ -80,3 +81,12 @@ def test_rank_documents_leaves_no_index_and_takes_empty_tables(spark):
     assert sorted((tuple(r) for r in lexical.rank_documents(d, q, 3).collect()), key=str) == plain(docs, items, 3)
     for a, b in ((d.limit(0), q), (d, q.limit(0)), (d.limit(0), q.limit(0)), (d.filter("doc_id = 2000"), q)):
         assert lexical.rank_documents(a, b, 3).count() == 0
+
+
+def test_a_row_group_holds_few_shards(spark, tmp_path):
+    """A writer that counts bytes every 100 rows, and a reader that takes a whole row group, held all shards of a task."""
+    texts = [(i, " ".join(f"w{i}x{j}" for j in range(12_000))) for i in range(150)]
+    lexical.write_index(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1), str(tmp_path / "index"), shard_bytes=1)
+    groups = [pq.ParquetFile(p).metadata.row_group(g) for p in (tmp_path / "index").glob("*.parquet") for g in range(pq.ParquetFile(p).metadata.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 150
+    assert max(g.num_rows for g in groups) < 100, [(g.num_rows, g.total_byte_size) for g in groups]
