@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grapheon.operators import intervals
+from grapheon.operators import intervals, traverse
 from grapheon.plans.lineage import cut
 
 MONEY = "decimal(18,2)"
@@ -22,6 +22,15 @@ def by_unit(reached: DataFrame, elements: DataFrame, *by: str) -> DataFrame:
     return reached.join(numeric, "node").groupBy(*by, "unit").agg(exact_sum("num").alias("total"), F.count(F.lit(1)).alias("n"))
 
 
+def by_unit_reached(roots: DataFrame, elements: DataFrame, edges: DataFrame) -> DataFrame:
+    """root, unit, total, n of all that each root reaches. Few roots are bits of a node, which are told apart only after the join with its values."""
+    found = traverse.marks(roots, edges)
+    if not found:
+        return by_unit(traverse.walk(roots, edges), elements, "root")
+    numeric = elements.filter("num is not null").select(F.col("key").alias("node"), "unit", "num")
+    return traverse.marked(numeric.join(found[0], "node").select("seen", "unit", "num"), found[1]).groupBy("root", "unit").agg(exact_sum("num").alias("total"), F.count(F.lit(1)).alias("n"))
+
+
 def by_unit_below(roots: DataFrame, elements: DataFrame, cross: DataFrame) -> DataFrame:
     """root, unit, total, n of all that each root reaches over ownership and the edges `cross`: prefix differences of ranges, no row for each element below a root. elements: key, owner, unit, num."""
     numbered = intervals.intervals(elements)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grapheon.plans.lineage import cut
@@ -37,6 +37,38 @@ def walk(roots: DataFrame, edges: DataFrame, most: int = 8, least: int = 0, dire
     return seen.filter(F.col("depth") >= least)
 
 
+#: Roots that a long's bits stand for.
+MARKS = 63
+
+
+def marks(roots: DataFrame, edges: DataFrame, most: int = 8) -> tuple[DataFrame, DataFrame] | None:
+    """node, seen: every node that up to MARKS roots reach, once, with the bits of these roots; and root, bit. None for more roots.
+
+    What `walk` finds, with a row for each node, not for each root and node.
+    """
+    named = cut(roots.select("root").distinct())
+    if named.count() > MARKS:
+        return None
+    place = F.row_number().over(Window.orderBy("root")) - 1  # MARKS rows at most
+    names = cut(named.withColumn("bit", F.call_function("shiftleft", F.lit(1).cast("long"), place)))
+    steps = cut(directed(edges).withColumnRenamed("src", "node"))
+    none = F.lit(0).cast("long")
+    state = names.select(F.col("root").alias("node"), F.col("bit").alias("seen"), F.col("bit").alias("fresh"))
+    for _ in range(most):
+        came = state.filter("fresh <> 0").select("node", "fresh").join(steps, "node").groupBy(F.col("dst").alias("node")).agg(F.bit_or("fresh").alias("came"))
+        both = state.select("node", "seen", none.alias("came")).unionByName(came.select("node", none.alias("seen"), "came"))
+        merged = both.groupBy("node").agg(F.bit_or("seen").alias("seen"), F.bit_or("came").alias("came"))
+        state = cut(merged.select("node", F.expr("seen | came").alias("seen"), F.expr("came & ~seen").alias("fresh")))
+        if state.filter("fresh <> 0").isEmpty():
+            break
+    return state.select("node", "seen"), names
+
+
+def marked(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """rows (seen, and what else they carry) once for each root whose bit they have, with root in place of seen."""
+    return rows.join(F.broadcast(names), F.col("seen").bitwiseAND(F.col("bit")) != 0).drop("seen", "bit")
+
+
 def forest(edges: DataFrame, direction: str = "out") -> bool:
     """Whether no element is entered by two edges, so that a walk has as many paths as elements."""
     twice = directed(edges, direction).distinct().groupBy("dst").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -76,6 +108,9 @@ def successors(states: DataFrame, edges: DataFrame, label: str = "transitionsTo"
 
 def subtree_sizes(roots: DataFrame, edges: DataFrame, most: int = 8) -> DataFrame:
     """root, size: nodes below each root, the root left out."""
+    found = marks(roots, edges, most)
+    if found:
+        return marked(found[0], found[1]).groupBy("root").agg((F.count("*") - 1).alias("size")).filter("size > 0")
     return walk(roots, edges, most, 1).groupBy("root").agg(F.count("*").alias("size"))
 
 

@@ -23,7 +23,7 @@ def composition_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals by unit of everything below each package."""
     g = _graph(spark, sf_dir)
     roots = g.elements.filter("kind = 'package'").select(F.col("key").alias("root"))
-    return rollup.by_unit(traverse.walk(roots, g.labelled(*COMPOSITION)), g.elements, "root")
+    return rollup.by_unit_reached(roots, g.elements, g.labelled(*COMPOSITION))
 
 
 @query("WITH RECURSIVE {graph}, walk AS (SELECT key AS root, key AS node FROM elements UNION SELECT w.root, e.dst FROM walk w JOIN edges e ON e.src = w.node AND e.label = 'owns'), s AS (SELECT root, COUNT(*) - 1 AS size FROM walk GROUP BY root HAVING COUNT(*) > 1)"
@@ -103,7 +103,7 @@ def unsatisfied(spark: SparkSession, sf_dir: str) -> DataFrame:
 def composition_rollup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals by unit of everything below each region."""
     g = _graph(spark, sf_dir)
-    return rollup.by_unit(traverse.walk(_roots(g), g.labelled(*COMPOSITION)), g.elements, "root")
+    return rollup.by_unit_reached(_roots(g), g.elements, g.labelled(*COMPOSITION))
 
 
 @query("WITH RECURSIVE {graph}, up AS (SELECT key AS root, key AS node, 0 AS depth FROM elements WHERE key LIKE 'order/%' UNION SELECT root, e.src, depth + 1 FROM up JOIN edges e ON e.dst = node AND e.label = 'owns') SELECT root, node, depth FROM up WHERE depth > 0")
