@@ -1,6 +1,8 @@
 import random
 
+from grapheon import queries
 from grapheon.operators import traverse
+from tests.test_queries import SF
 
 
 def below(edges, root):
@@ -25,3 +27,7 @@ def test_few_roots_are_bits_and_a_node_is_one_row(spark):
     assert traverse.marks(many, spark.createDataFrame(edges, "src string, dst string")) is None
     sizes = {r: len(below(edges, r)) - 1 for r in roots if len(below(edges, r)) > 1}
     assert {r.root: r["size"] for r in traverse.subtree_sizes(start, spark.createDataFrame(edges, "src string, dst string"), 64).collect()} == sizes
+
+
+def test_satisfied_requirements_are_made_distinct_once(spark):
+    assert "count(distinct" not in queries.QUERIES["unsatisfied_all"](spark, SF)._jdf.queryExecution().executedPlan().toString()
