@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grapheon.operators import intervals
+from grapheon.operators import intervals, traverse
 from grapheon.plans.lineage import cut
 
 #: Kinds of elements that a rollup starts from.
@@ -24,8 +24,16 @@ def richest(elements: DataFrame, cross: DataFrame) -> DataFrame:
 
     elements: key, kind, owner, attribute, num; cross: edges (src, dst) that a composition crosses besides ownership.
     """
-    children = elements.filter("owner is not null").groupBy(F.col("owner").alias("key")).agg(F.count(F.lit(1)).alias("children"))
-    roots = cut(elements.filter(F.col("kind").isin(*ROOT_KINDS)).join(children.filter("children > 1"), "key").select(F.col("key").alias("root")))
+    owned = elements.filter("owner is not null").select(F.col("owner").alias("src"), F.col("key").alias("dst"))
+    children = owned.groupBy(F.col("src").alias("key")).agg(F.count(F.lit(1)).alias("children"))
+    valued = F.col("num").isNotNull() & F.col("attribute").isNotNull()
+    able = cut(elements.filter(F.col("kind").isin(*ROOT_KINDS)).join(children.filter("children > 1"), "key").select("key", "owner", valued.alias("own")))
+    # what a candidate with a number reaches, an owner that is a candidate without one reaches too, and counts more of it: the owner comes first, also on circles
+    better = able.filter("not own").select(F.col("key").alias("owner"))
+    roots = cut(able.filter("not own").select("key").unionByName(able.filter("own").join(better, "owner", "left_anti").select("key")).withColumnRenamed("key", "root"))
+    few = traverse.marks(roots, owned.unionByName(cross.select("src", "dst")), 64)
+    if few:
+        return _richest_marked(elements, *few)
     numbered = intervals.intervals(elements)
     ranges = cut(intervals.reach(roots, numbered, cross))
     numbers = elements.filter("num is not null and attribute is not null").select("key", F.col("attribute").alias("unit"), "num")
@@ -33,8 +41,20 @@ def richest(elements: DataFrame, cross: DataFrame) -> DataFrame:
     each = ranges.select("root", "entry").join(held, "entry").select("root", F.col("unit").alias("attribute"), "n")
     own = numbers.join(roots.select(F.col("root").alias("key")), "key").select(F.col("key").alias("root"), F.col("unit").alias("attribute"), F.lit(-1).cast("long").alias("n"))
     counts = each.unionByName(own).groupBy("root", "attribute").agg(F.sum("n").alias("n")).filter("n > 0")
-    total = counts.groupBy("root").agg(F.sum("n").alias("valued"), F.min(F.struct((-F.col("n")).alias("m"), "attribute")).alias("x"))
     sizes = ranges.groupBy("root").agg((F.sum(F.col("post") - F.col("pre") + 1) - 1).alias("size"))
+    return _best(counts, sizes)
+
+
+def _richest_marked(elements: DataFrame, seen: DataFrame, names: DataFrame) -> DataFrame:
+    """The same of few roots, whose bits the nodes have."""
+    numbers = elements.filter("num is not null and attribute is not null").select(F.col("key").alias("node"), "attribute")
+    counts = traverse.marked(numbers.join(seen, "node"), names).filter("node <> root").groupBy("root", "attribute").agg(F.count(F.lit(1)).alias("n"))
+    sizes = traverse.marked(seen, names).groupBy("root").agg((F.count(F.lit(1)) - 1).alias("size"))
+    return _best(counts, sizes)
+
+
+def _best(counts: DataFrame, sizes: DataFrame) -> DataFrame:
+    total = counts.groupBy("root").agg(F.sum("n").alias("valued"), F.min(F.struct((-F.col("n")).alias("m"), "attribute")).alias("x"))
     best = total.join(sizes, "root").orderBy(F.desc("valued"), F.desc("size"), "root").limit(1)
     return best.select("root", F.col("x.attribute").alias("attribute"), "valued", "size")
 
