@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grapheon.llm import jaccard, packing, secrets, substrings, toxicity
-from grapheon.llm.common import shared_folder
+from grapheon.llm.common import remove, shared_folder
 from grapheon.llm.queries import tokenizer_path, toxicity_model
 
 
@@ -67,12 +67,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.mode("overwrite").parquet(out)
         docs = spark.read.parquet(out)
         if before:
-            _remove(spark, before)
+            remove(spark, before)
         before = out
     return docs
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of ours with the file system that holds it."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

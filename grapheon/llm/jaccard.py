@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from grapheon.llm.common import cut, lean, lean_group, slices, spread_join, text_bytes
+from grapheon.llm.common import cut, forget, lean, lean_group, slices, spread_join, text_bytes
 from grapheon.llm.components import components
 from grapheon.llm.fingerprints import ROWS, batch_ids, batch_rows, bucket_bits, mix, squeezed, starts, unsqueezed, with_counts
 
@@ -368,7 +368,7 @@ def _join_rest(percent: int):
 
 
 def links(ordered: DataFrame, percent: int, block_sets: int = 1024, pivots: int = 4) -> DataFrame:
-    """a, b: links that connect the same sets as all links do. ordered: rows of ORDERED."""
+    """a, b: links that connect the same sets as all links do, cut. ordered: rows of ORDERED."""
     prefixes = ordered.select("doc_id", F.explode("prefix").alias("gram"))
     hub = prefixes.groupBy("gram").agg(F.min("doc_id").alias("hub"), F.count("*").alias("times")).filter("times > 1")
     near = prefixes.join(hub, "gram").filter("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
@@ -382,7 +382,9 @@ def links(ordered: DataFrame, percent: int, block_sets: int = 1024, pivots: int
 
     large = member.filter(F.col("sets") > block_sets).withColumn("chunks", F.ceil(F.col("sets") / (block_sets // 2)).cast("long"))
     if large.isEmpty():
-        return found
+        out = cut(found)
+        forget(member)
+        return out
     large = large.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")))
     hubs = large.withColumn("r", F.row_number().over(Window.partitionBy("block").orderBy("doc_id"))).filter(F.col("r") <= pivots)
     hubs = hubs.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
@@ -402,7 +404,9 @@ def links(ordered: DataFrame, percent: int, block_sets: int = 1024, pivots: int
     others = large.join(rest_sized, "block").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     others = others.select(*(F.col(c).alias(c) for c in ("block", "part", "chunk", "doc_id", "n", "shared", "root")))  # columns of their own, not those of asked
     late = asked.groupBy("block", "part", "chunk").cogroup(others.groupBy("block", "part", "chunk")).applyInPandas(lean_group(_join_rest(percent)), "a long, b long")
-    return found.unionByName(first).unionByName(late)
+    out = cut(found.unionByName(first).unionByName(late))
+    forget(member, first, large)
+    return out
 
 
 def _classified(docs: DataFrame, n: int, percent: int, block_sets: int) -> DataFrame:
@@ -411,15 +415,19 @@ def _classified(docs: DataFrame, n: int, percent: int, block_sets: int) -> DataF
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"))
     bits = bucket_bits(text_bytes(rows), 16 << 20)
     sketch = cut(rows.mapInArrow(lean(_sketch(n, bits)), ROWS))
-    sets = sketch.filter("kind = 0").select("a", "b").mapInArrow(lean(_all_sets), SETS)
+    sets = cut(sketch.filter("kind = 0").select("a", "b")).mapInArrow(lean(_all_sets), SETS)  # without the texts, which go when they have been read
     classes = cut(sets.filter("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("least"), F.count("*").alias("times")))
 
     left = with_counts(sketch, _left_over(percent), "set_key binary, packed binary")
     reps = left.groupBy("set_key").agg(F.min("packed").alias("packed")).select(F.monotonically_increasing_id().alias("node"), "set_key", "packed")
     second = cut(reps.mapInArrow(lean(_second(n, bits)), ROWS))
+    forget(sketch)
     ordered = cut(with_counts(second, _ordered(n, percent), ORDERED))
-    root = components(links(ordered, percent, block_sets))
-    names = second.filter("kind = 0").select("a", "d").mapInArrow(lean(_names), "node long, set_key binary")
+    names = cut(second.filter("kind = 0").select("a", "d")).mapInArrow(lean(_names), "node long, set_key binary")
+    forget(second)
+    linking = links(ordered, percent, block_sets)
+    forget(ordered)
+    root = components(linking)
     member = cut(root.join(names, "node").join(classes, "set_key").select("set_key", "root", "least"))
     by_root = member.groupBy("root").agg(F.min("least").alias("component"), F.count("*").alias("held"))
     linked = spread_join(member.select("set_key", "root"), by_root, "root", "held", member.count())
